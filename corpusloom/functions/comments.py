@@ -10,6 +10,7 @@ from functools import lru_cache
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -138,12 +139,15 @@ def opening(content: str | None, language: str | None = None, path: str | None =
     return [{"text": k[2], "start_line": line, "index": i} for i, (k, line) in enumerate(ordered)]
 
 
-@F.pandas_udf("array<struct<text:string,start_line:int,index:int>>")
+COMMENTS = T.ArrayType(T.StructType().add("text", "string").add("start_line", "integer").add("index", "integer"))
+
+
+@F.pandas_udf(COMMENTS)  # a type, not its text: workers import this module without a session
 def opening_comments(content: pd.Series, language: pd.Series, path: pd.Series) -> pd.Series:
     return pd.Series([opening(c, lang, p) for c, lang, p in zip(content, language, path, strict=True)])
 
 
-@F.pandas_udf("struct<content:string,language:string>")
+@F.pandas_udf(T.StructType().add("content", "string").add("language", "string"))
 def notebook_code(s: pd.Series) -> pd.DataFrame:
     """Joined code cells and kernel language of notebook JSON; anything else stays as it is."""
     out = []
@@ -163,4 +167,4 @@ def notebook_code(s: pd.Series) -> pd.DataFrame:
 
 def html_comments(html: Column) -> Column:
     """Array of the trimmed comments of a page, by a built-in expression."""
-    return F.transform(F.regexp_extract_all(html, F.lit("(?s)<!--(.*?)-->"), F.lit(1)), F.trim)
+    return F.transform(F.regexp_extract_all(html, F.lit("(?s)<!--(.*?)-->"), F.lit(1)), lambda c: F.trim(c))

@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TWO64 = 18446744073709551615.0
 
@@ -21,7 +22,7 @@ def folded(c: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(c, "\\s+", " "), "^ | $", ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def folded_nfkc(s: pd.Series) -> pd.Series:
     """Compatibility form, full case fold, white space collapsed: the exact identity of candidate texts."""
     return s.map(lambda x: None if x is None else " ".join(unicodedata.normalize("NFKC", x).casefold().split()))
@@ -120,8 +121,13 @@ def json_object(c: Column) -> Column:
 
 def ngrams(tokens: Column, n: int) -> Column:
     """Distinct runs of ``n`` tokens; a shorter list is one run."""
-    size = F.size(tokens)
-    return F.when(size == 0, F.array().cast("array<string>")).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))), lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))))
+
+    def of(t: Column) -> Column:
+        size = F.size(t)
+        at = F.when(size == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.greatest(size - n, F.lit(0))))
+        return F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice(t, i + 1, n), " ")))
+
+    return F.get(F.transform(F.array(tokens), of), 0)  # bound once: an expression in a lambda is evaluated at each step
 
 
 def tokens(c: Column) -> Column:

@@ -321,9 +321,9 @@ def stable_fraction_split(spark, d):
     return docs(spark, d).select("doc_id", F.round(f, 9).alias("fraction"), allocate.hash_split(f).alias("split"))
 
 
-@query("""WITH f AS (SELECT source AS file, count(*) AS n FROM documents GROUP BY 1), c AS (SELECT file, n, coalesce(sum(n) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS at FROM f),
-p AS (SELECT *, unnest(range(at // 64, (at + n - 1) // 64 + 1)) AS package FROM c)
-SELECT package::bigint AS package, file, greatest(package * 64 - at, 0)::bigint AS start, least((package + 1) * 64 - at, n)::bigint AS "end" FROM p""")
+@query("""WITH f AS (SELECT source AS file, count(*) AS n FROM documents GROUP BY 1), c AS (SELECT file, n, coalesce(sum(n) OVER (ORDER BY file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::bigint AS "at" FROM f),
+p AS (SELECT *, unnest(range((c."at" // 64)::bigint, ((c."at" + n - 1) // 64 + 1)::bigint)) AS package FROM c)
+SELECT package::bigint AS package, file, greatest(package * 64 - p."at", 0)::bigint AS start, least((package + 1) * 64 - p."at", n)::bigint AS "end" FROM p""")
 def package_packing(spark, d):
     files = docs(spark, d).groupBy(F.col("source").alias("file")).agg(F.count("*").alias("n"))
     return allocate.packages(files, "file", "n", 64)
