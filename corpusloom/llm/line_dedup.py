@@ -57,27 +57,27 @@ def windows(docs: DataFrame) -> DataFrame:
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """d, th (document) and ``drop`` (positions where a later occurrence starts)."""
+    """_line_d, _line_th (document) and ``_drop`` (positions where a later occurrence starts)."""
     every = windows(docs)
     often = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select(F.expr("h ^ 0L").alias("k"))
     again = cut(every.join(often, F.col("h") == F.col("k")).select("d", "th", "pos", "h", "g"))
     first = again.groupBy("h", "g").agg(F.min(F.struct("d", "th", "pos")).alias("first")).select(F.expr("h ^ 0L").alias("k"), F.col("g").alias("kg"), "first")
     later = again.join(first, (F.col("h") == F.col("k")) & (F.col("g") == F.col("kg"))).where(F.struct("d", "th", "pos") > F.col("first"))
-    return later.groupBy("d", "th").agg(F.collect_set("pos").alias("drop"))
+    return later.groupBy(F.col("d").alias("_line_d"), F.col("th").alias("_line_th")).agg(F.collect_set("pos").alias("_drop"))
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with its text reduced, and n_lines, n_removed."""
     drop = removals(docs)
-    spots = lambda n: F.array_distinct(F.flatten(F.transform("drop", lambda p: F.sequence(p, F.least(p + WINDOW - 1, n - 1)))))
+    spots = lambda n: F.array_distinct(F.flatten(F.transform("_drop", lambda p: F.sequence(p, F.least(p + WINDOW - 1, n - 1)))))
     kept = lambda n: F.array_except(F.sequence(F.lit(0), n - 1), spots(n))
     rows = docs.withColumn("_d", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("_th", F.xxhash64("text"))
-    rows = rows.join(drop, (F.col("_d") == F.col("d")) & (F.col("_th") == F.col("th")), "left")
+    rows = rows.join(drop, (F.col("_d") == F.col("_line_d")) & (F.col("_th") == F.col("_line_th")), "left")
     rows = rows.withColumn("_lines", lines_of(F.coalesce("text", F.lit(""))))
     n = F.size("_lines")
-    rows = rows.withColumn("n_lines", n).withColumn("_kept", F.when(F.col("drop").isNotNull() & (n > 0), kept(n)))
+    rows = rows.withColumn("n_lines", n).withColumn("_kept", F.when(F.col("_drop").isNotNull() & (n > 0), kept(n)))
     text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), ""))
-    return rows.withColumn("text", text).withColumn("n_removed", F.when(F.col("_kept").isNull(), 0).otherwise(n - F.size("_kept"))).drop("_d", "_th", "d", "th", "drop", "_lines", "_kept")
+    return rows.withColumn("text", text).withColumn("n_removed", F.when(F.col("_kept").isNull(), 0).otherwise(n - F.size("_kept"))).drop("_d", "_th", "_line_d", "_line_th", "_drop", "_lines", "_kept")
 
 
 def keep_rest(docs: DataFrame) -> DataFrame:

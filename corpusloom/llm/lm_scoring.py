@@ -34,7 +34,6 @@ from .common import chunks, cut, text_bytes
 
 #: At most so many words have N / HEAVY occurrences or more; those travel as a broadcast, all others by a join.
 HEAVY = 1 << 18
-DISCOUNT = 0.6
 SPACES = b"\t\n\x0b\x0c\r "
 
 
@@ -196,17 +195,20 @@ def word_counts(docs: DataFrame, train: str) -> DataFrame:
     return docs.select(text_bytes().alias("t"), train).mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def score(docs: DataFrame, pieces: list[bytes], train: str, heavy: int = HEAVY, discount: float = DISCOUNT) -> DataFrame:
+def score(docs: DataFrame, pieces: list[bytes], train: str, heavy: int = HEAVY, discount: float | None = None) -> DataFrame:
     """Each row of ``docs`` (doc_id, text and the boolean column ``train``) with its scores.
 
     Returns doc_id, ``train``, n_tokens, n_known, train_tokens, base_score and
     score (log10).  Word counts cover all rows; words of at least
     ``N / heavy`` occurrences (at most ``heavy`` of them) are looked up in a
-    broadcast table, all others by a join on the word.
+    broadcast table, all others by a join on the word.  Without a given
+    ``discount`` it follows from how many words occur once and twice.
     """
     sc = docs.sparkSession.sparkContext
     counts = cut(word_counts(docs, train))
-    tot = counts.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
+    tot = counts.where("c > 0").agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).first()
+    if discount is None:
+        discount = min(0.95, max(0.1, (tot.n1 + 0.5) / (tot.n1 + 2 * tot.n2 + 1)))
     ends = docs.where(train).count()
     n_all, v = (tot.n or 0) + ends, (tot.v or 0) + (ends > 0)
     known = counts.where("c > 0")
