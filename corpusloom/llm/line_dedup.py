@@ -66,23 +66,32 @@ def removals(docs: DataFrame) -> DataFrame:
     return later.groupBy(F.col("d").alias("_line_d"), F.col("th").alias("_line_th")).agg(F.collect_set("pos").alias("_drop"))
 
 
+def reduced(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_drop`` (null: nothing repeats) and ``_rest`` (text, n_lines, n_removed)."""
+    rows = docs.withColumn("_d", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("_th", F.xxhash64("text"))
+    rows = rows.join(removals(docs), (F.col("_d") == F.col("_line_d")) & (F.col("_th") == F.col("_line_th")), "left")
+
+    def rest(lines: Column) -> Column:
+        n = F.size(lines)
+        spots = F.flatten(F.transform("_drop", lambda p: F.sequence(p, F.least(p + WINDOW - 1, n - 1))))
+        kept = F.array_except(F.sequence(F.lit(0), n - 1), spots)
+        hit = F.col("_drop").isNotNull() & (n > 0)
+        text = F.when(hit, F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "")).otherwise(F.col("text"))
+        return F.struct(text.alias("text"), n.alias("n_lines"), F.when(hit, n - F.size(kept)).otherwise(0).alias("n_removed"))
+
+    # Lines are bound once: an expression inside a lambda is evaluated at each step.
+    return rows.withColumn("_rest", F.get(F.transform(F.array(lines_of(F.coalesce("text", F.lit("")))), rest), 0)).drop("_d", "_th", "_line_d", "_line_th")
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs`` with its text reduced, and n_lines, n_removed."""
-    drop = removals(docs)
-    spots = lambda n: F.array_distinct(F.flatten(F.transform("_drop", lambda p: F.sequence(p, F.least(p + WINDOW - 1, n - 1)))))
-    kept = lambda n: F.array_except(F.sequence(F.lit(0), n - 1), spots(n))
-    rows = docs.withColumn("_d", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn("_th", F.xxhash64("text"))
-    rows = rows.join(drop, (F.col("_d") == F.col("_line_d")) & (F.col("_th") == F.col("_line_th")), "left")
-    rows = rows.withColumn("_lines", lines_of(F.coalesce("text", F.lit(""))))
-    n = F.size("_lines")
-    rows = rows.withColumn("n_lines", n).withColumn("_kept", F.when(F.col("_drop").isNotNull() & (n > 0), kept(n)))
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), ""))
-    return rows.withColumn("text", text).withColumn("n_removed", F.when(F.col("_kept").isNull(), 0).otherwise(n - F.size("_kept"))).drop("_d", "_th", "_line_d", "_line_th", "_drop", "_lines", "_kept")
+    rows = reduced(docs)
+    return rows.withColumns({k: F.col(f"_rest.{k}") for k in ("text", "n_lines", "n_removed")}).drop("_drop", "_rest")
 
 
 def keep_rest(docs: DataFrame) -> DataFrame:
     """``docs`` without repeated passages, columns unchanged; documents of which nothing is left go."""
-    out = dedup(docs).where("n_removed = 0 or length(trim(text)) > 0")
+    out = reduced(docs).where("_drop is null or _rest.n_removed = 0 or length(trim(_rest.text)) > 0")
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col("_rest.n_removed") > 0, F.length("_rest.text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.withColumn("text", F.col("_rest.text")).select(*docs.columns)
