@@ -12,8 +12,9 @@ leaf.  Trees come from a bounded hash sample of the distinct fingerprints.
 Equal fingerprints are one row.  Within a leaf, links are found by blocks of
 bit counts and reported as a spanning forest, never as all pairs.  A leaf too
 large for one task is cut into cells: fingerprints near one of the sampled
-dense hubs already are linked through that hub and need no comparison with each
-other, so they are dealt over cells, while the others visit every cell
+dense hubs already are linked through that hub, and hubs of one sampled
+component through the sample's spanning links, so they need no comparison with
+each other and are dealt over cells, while the others visit every cell
 (pairwise cells if there are many).  Components come from alternating large and
 small stars over checkpointed edge tables.
 
@@ -146,9 +147,9 @@ def local_links(f: np.ndarray, radius: int, mask: np.uint64, r: int, leaf: int =
     yield from forest(f, radius)
 
 
-def hubs_of(sample: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sampled fingerprints with many sampled neighbours, at most 512, and their component among the sample."""
-    parent = np.arange(len(sample))
+def hubs_of(sample: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int]]]:
+    """Sampled fingerprints with many sampled neighbours, at most 512, their component among the sample, and links that span these components."""
+    parent, joined = np.arange(len(sample)), []
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -160,13 +161,16 @@ def hubs_of(sample: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     for k in m:
         for a, b in local_links(sample, radius, k, radius // BLOCKS):
             x, y = root(a), root(b)
+            if x != y:
+                joined.append((a, b))
             parent[max(x, y)] = min(x, y)
     comp = np.array([root(i) for i in range(len(sample))])
     ids, inv, n = np.unique(comp, return_inverse=True, return_counts=True)
     big = set(ids[n >= max(16, len(sample) // 256)].tolist())
     picked = [i for i in range(len(sample)) if comp[i] in big]
     degree = sorted(picked, key=lambda i: (-int((np.bitwise_count(sample[picked] ^ sample[i]) <= radius).sum()), i))[:512]
-    return sample[degree], comp[degree]
+    kept = np.array([(a, b) for a, b in joined if comp[a] in big], np.int64).reshape(-1, 2)
+    return sample[degree], comp[degree], sample[kept].view(np.int64).tolist()
 
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
@@ -199,7 +203,7 @@ def link_edges(distinct: DataFrame, radius: int, leaf: int = LEAF, cell: int = C
     sample = np.array([x.fp for x in drawn], np.int64).view(np.uint64)
     in_leaf = max(8, int(leaf * len(sample) / max(1, n)))
     trees = [grow(sample, m, r, in_leaf, seed=7 + i) for i, m in enumerate(blocks)]
-    hub, comp = hubs_of(sample, radius) if len(sample) else (sample, np.zeros(0, int))
+    hub, comp, spans = hubs_of(sample, radius) if len(sample) else (sample, np.zeros(0, int), [])
     shared = sc.broadcast((trees, hub, comp))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +250,9 @@ def link_edges(distinct: DataFrame, radius: int, leaf: int = LEAF, cell: int = C
         return pa.table({"a": f[got[:, 0]].view(np.int64), "b": f[got[:, 1]].view(np.int64)})
 
     found = homes.groupBy("leaf", "cell").applyInArrow(links, "a long, b long")
-    return found.unionByName(visits.where("hub is not null and hub != fp").select(F.col("fp").alias("a"), F.col("hub").alias("b")))
+    # Equal labels are not compared everywhere: these links join each fingerprint to its hub, and all hubs of a label.
+    ties = visits.where("hub is not null and hub != fp").select(F.col("fp").alias("a"), F.col("hub").alias("b"))
+    return found.unionByName(ties).unionByName(distinct.sparkSession.createDataFrame(spans, "a long, b long"))
 
 
 def groups(prints: DataFrame, radius: int = 4) -> DataFrame:

@@ -70,6 +70,22 @@ def test_groups_equal_all_pairs(spark, monkeypatch, leaf, cell):
     assert got == brute_groups(rows)
 
 
+def test_hubs_joined_by_one_bridge_stay_together(spark, monkeypatch):
+    monkeypatch.setattr(simhash.link_edges, "__defaults__", (3000, 40))
+    rng = random.Random(3)
+    a = rng.getrandbits(64)
+    apart = rng.sample(range(64), 8)
+    flip = lambda f, bits: f ^ sum(1 << b for b in bits)
+    rest = [b for b in range(64) if b not in apart]
+    near = [rng.sample(rest, 2) for _ in range(200)]
+    b, bridge = flip(a, apart), flip(a, apart[:4])
+    prints = list(dict.fromkeys([a, b, bridge] + [flip(a, x) for x in near[:100]] + [flip(b, x) for x in near[100:]]))
+    rows = list(enumerate(prints))
+    assert set(brute_groups(rows).values()) == {0}
+    df = spark.createDataFrame([(d, p - (1 << 64) if p >> 63 else p) for d, p in rows], "doc_id long, fp long").repartition(3)
+    assert {r.doc_id: r.component_id for r in simhash.groups(df).collect()} == brute_groups(rows)
+
+
 def test_simhash_query(spark, small):
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op4_simhash(spark, small).collect()}
     rows = [(r.doc_id, brute_print(r.text)) for r in read(spark, small, "documents").collect()]
