@@ -58,15 +58,16 @@ def fingerprint(text: bytes, width: int = 4) -> int:
     return int.from_bytes(np.packbits(ones * 2 > len(h)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """doc_id and ``fp`` (the fingerprint as a signed long) of each row."""
+def fingerprints(docs: DataFrame, width: int = 4, keep: str | None = None) -> DataFrame:
+    """doc_id and ``fp`` (the fingerprint as a signed long) of each row, and the long column ``keep`` if given."""
+    more = [keep] if keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 1024):
             f = np.array([fingerprint(t, width) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(f)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(f), *b.columns[2:]], ["doc_id", "fp", *more])
 
-    return docs.select(F.col("doc_id").cast("long"), text_bytes().alias("t")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), text_bytes().alias("t"), *more).mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *more]))
 
 
 def masks(blocks: int) -> list[np.uint64]:
@@ -270,7 +271,11 @@ def groups(prints: DataFrame, radius: int = 4) -> DataFrame:
 def keep_one(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
     """``docs`` with one row for each group of near-duplicates: the one with the smallest doc_id.
 
-    Rows that share that doc_id stay together; a null doc_id stays.
+    Rows are told apart by doc_id and text, so a row goes with its own group only;
+    equal rows stay together. A row with a null doc_id goes if its group has an id.
     """
-    gone = groups(fingerprints(docs, width), radius).where(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
+    named = groups(fingerprints(rows, width), radius).where("component_id is not null").select(F.col("fp").alias("k"), "component_id").distinct()
+    marked = fingerprints(rows, width, keep="th").join(named, F.col("fp") == F.col("k")).where("doc_id is null or doc_id != component_id")
+    gone = marked.select(F.col("doc_id").alias("_gone_d"), F.col("th").alias("_gone_th")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_d")) & (F.xxhash64("text") == F.col("_gone_th")), "left_anti").select(*docs.columns)

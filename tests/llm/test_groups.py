@@ -103,6 +103,13 @@ def test_simhash_of_odd_rows(spark):
     assert simhash.groups(simhash.fingerprints(df.limit(0))).count() == 0
 
 
+def test_keep_one_decides_by_row(spark):
+    words = lambda c: " ".join(f"{c}{i}" for i in range(30))
+    rows = [(1, words("a")), (2, words("a")), (2, words("b")), (None, words("a")), (None, words("c"))]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.text[:2]) for r in got} == {(1, "a0"), (2, "b0"), (None, "c0")} and len(got) == 3
+
+
 def held_to_law(rows, shards=8):
     sizes, slots = Counter(), defaultdict(list)
     for r in rows:
