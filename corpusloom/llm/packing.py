@@ -7,11 +7,12 @@ counts as long as its bucket's boundary.  A bucket's rows are dealt over many
 chunks, whose counts turn chunk positions into gapless bucket ranks, so a hot
 length needs no task of its own.
 
-Lengths above ``EXACT`` are rounded up to twelve bits for the histogram, which
-bounds it to a few ten thousand entries whatever the texts; all others are
-exact.  Cases: a null or empty text has length 0; a row longer than the budget
-has a batch of its own with ``over_budget``; repeated rows each get a place;
-an empty table gives no rows; columns of other names are carried through.
+The histogram has one row a distinct length, whatever the number of documents.
+Cases: a null or empty text has length 0; a row longer than the budget has a
+batch of its own with ``over_budget``; repeated rows and ties each get a place;
+an empty table gives no rows; extra columns are carried through, but those
+named like a column of the result (n_tokens, bucket, padded_to, batch, place,
+padding, over_budget) are replaced by it.
 """
 
 from __future__ import annotations
@@ -20,9 +21,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, spare
 
-EXACT, CHUNK = 1 << 15, 20_000
+CHUNK = 20_000
 
 
 def n_words(col: str = "text") -> Column:
@@ -31,12 +32,6 @@ def n_words(col: str = "text") -> Column:
     return F.regexp_count(t, F.lit("[^\\x20\\x09-\\x0D]+"))
 
 
-def rounded(n: Column) -> Column:
-    """``n``, rounded up to twelve significant bits above ``EXACT``."""
-    step = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(n, F.lit(1)).cast("double"))) - 11)
-    return F.when(n <= EXACT, n.cast("long")).otherwise((F.ceil(n / step) * step).cast("long"))
-
-
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     """The ascending bucket boundaries of least padding, at most ``buckets``."""
     order = np.argsort(lengths)
@@ -72,31 +67,25 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[in
 
 def pack(docs: DataFrame, length: Column, buckets: int = 8, budget: int = 16_384, key: str = "doc_id") -> DataFrame:
     """``docs`` with n_tokens, bucket, padded_to, batch (from 0 within a bucket), place, padding and over_budget."""
-    rows = cut(docs.withColumn("n_tokens", length.cast("long")).withColumn("_len", rounded(F.col("n_tokens"))))
-    hist = rows.groupBy("_len").agg(F.count("*").alias("n")).collect()
-    lens, counts = np.array([r._len for r in hist], np.int64), np.array([r.n for r in hist], np.int64)
+    part, rank, tie, b2, p2, before = spare(docs, "pack_part", "pack_rank", "pack_key", "pack_b", "pack_p", "pack_before")
+    rows = cut(docs.withColumns({tie: F.col(key), "n_tokens": length.cast("long")}))
+    hist = rows.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()
+    lens, counts = np.array([r[0] for r in hist], np.int64), np.array([r[1] for r in hist], np.int64)
     cuts = boundaries(lens, counts, buckets) or [0]
     bucket = F.lit(len(cuts) - 1)
     for i in range(len(cuts) - 2, -1, -1):
-        bucket = F.when(F.col("_len") <= cuts[i], i).otherwise(bucket)
+        bucket = F.when(F.col("n_tokens") <= cuts[i], i).otherwise(bucket)
     size = np.bincount(np.searchsorted(cuts, lens), weights=counts, minlength=len(cuts)).astype(int)
     pick = lambda xs, at: F.get(F.array(*[F.lit(int(v)).cast("long") for v in xs]), at)
-    chunk = F.pmod(F.xxhash64(F.col(key), F.col("n_tokens"), F.monotonically_increasing_id()), pick(size // CHUNK + 4, F.col("bucket")))
-    dealt = cut(rows.withColumn("bucket", bucket.cast("int")).withColumn("_chunk", chunk.cast("long")))
-    offsets, at = [], 0
-    got = {(r.bucket, r._chunk): r.n for r in dealt.groupBy("bucket", "_chunk").agg(F.count("*").alias("n")).collect()}
-    spread = []
-    for b in range(len(cuts)):
-        spread.append(len(offsets))
-        at = 0
-        for k in range(int(size[b]) // CHUNK + 4):
-            offsets.append(at)
-            at += got.get((b, k), 0)
-    w = Window.partitionBy("bucket", "_chunk").orderBy(F.col(key), F.col("n_tokens"))
-    per = [max(1, budget // max(1, c)) for c in cuts]
-    rank = F.row_number().over(w) - 1 + pick(offsets, (pick(spread, F.col("bucket")) + F.col("_chunk")).cast("int"))
-    each, to = pick(per, F.col("bucket")), pick(cuts, F.col("bucket"))
+    chunk = F.pmod(F.xxhash64(tie, "n_tokens", F.monotonically_increasing_id()), pick(size // CHUNK + 4, F.col("bucket")))
+    dealt = cut(rows.withColumn("bucket", bucket.cast("int")).withColumn(part, chunk))
+    # Where each chunk starts within its bucket: one row a chunk, summed up in order.
+    starts = dealt.groupBy(F.col("bucket").alias(b2), F.col(part).alias(p2)).agg(F.count("*").alias("n"))
+    starts = starts.select(b2, p2, (F.sum("n").over(Window.partitionBy(b2).orderBy(p2)) - F.col("n")).alias(before))
+    within = F.row_number().over(Window.partitionBy("bucket", part).orderBy(tie, "n_tokens"))
+    placed = dealt.withColumn(rank, within).join(starts, (F.col("bucket") == F.col(b2)) & (F.col(part) == F.col(p2))).withColumn(rank, F.col(rank) - 1 + F.col(before))
+    each, to = pick([max(1, budget // max(1, c)) for c in cuts], F.col("bucket")), pick(cuts, F.col("bucket"))
     return (
-        dealt.withColumn("_rank", rank).withColumn("padded_to", to).withColumn("batch", F.floor(F.col("_rank") / each).cast("long")).withColumn("place", F.pmod(F.col("_rank"), each).cast("int"))
-        .withColumn("padding", F.col("padded_to") - F.col("n_tokens")).withColumn("over_budget", F.col("padded_to") > budget).drop("_rank", "_len", "_chunk")
+        placed.withColumn("padded_to", to).withColumn("batch", F.floor(F.col(rank) / each).cast("long")).withColumn("place", F.pmod(F.col(rank), each).cast("int"))
+        .withColumn("padding", F.col("padded_to") - F.col("n_tokens")).withColumn("over_budget", F.col("padded_to") > budget).drop(rank, part, tie, b2, p2, before)
     )

@@ -196,6 +196,15 @@ def test_packing_of_odd_rows(spark):
     assert packing.pack(df.limit(0).select("doc_id", F.lit(1).alias("n")), F.col("n")).count() == 0
 
 
+def test_packing_of_long_texts_is_exact(spark):
+    lens = [3, 40_001, 32_768, 32_769, 50_003, 90_001, 90_002]
+    df = spark.createDataFrame([(i, n, 7, 8) for i, n in enumerate(lens) for _ in range(i + 1)], "doc_id long, n long, pack_part int, _len int")
+    rows = packing.pack(df, F.col("n"), 3, 100_000).collect()
+    assert sorted({r.padded_to for r in rows}) == packing.boundaries(np.array(lens), np.arange(1, 8), 3)
+    assert {(r.pack_part, r._len) for r in rows} == {(7, 8)}
+    held_to_budget(rows, 100_000)
+
+
 def text_rows(df):
     return [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
 
