@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -12,12 +11,22 @@ from pyspark.sql import functions as F
 WORD_SPACE = "\t\n\x0b\x0c\r "
 
 
+#: Rows and bytes that Spark puts in one Arrow batch for Python at most, where the operators here send texts.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; only where that is unset (single-machine tests) a folder made here."""
+    """The session's ``spark.checkpoint.dir``, or a checkpoint folder that was set on its context; without either an error.
+
+    A folder made here would be local to the driver, which executors on other
+    machines do not see.
+    """
     sc = spark.sparkContext
     given = sc.getConf().get("spark.checkpoint.dir")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="cuts-"))
+        if not given:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(given)
     return given or sc._jsc.sc().getCheckpointDir().get()
 
 
@@ -27,6 +36,29 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores behind it as it takes to differ from the columns of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's limits for Arrow batches to ``BATCH_ROWS`` and ``BATCH_BYTES`` where they are above.
+
+    At the defaults a batch of long texts takes tens of MB several times over:
+    in the JVM, on the way to Python and there.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = (spark.conf.get(key) or "").rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -121,11 +121,13 @@ LINE_SQL = line_dedup.LINE.replace("\\x0B", "\\v")
 
 OP6_SQL = f"""
 WITH d AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '{LINE_SQL}') AS l FROM documents),
-k AS (SELECT DISTINCT doc_id, text, list_transform(l, lambda x: lower(rtrim(translate(x, chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '     '), ' '))) AS k, len(l) AS n FROM d WHERE text IS NOT NULL),
-w AS (SELECT doc_id, text, i - 1 AS pos, n, coalesce(k[i], '') AS a, coalesce(k[i + 1], '') AS b, coalesce(k[i + 2], '') AS c
+k AS (SELECT DISTINCT doc_id, text, list_transform(l, lambda x: lower(trim(replace(x, chr(9), ' '), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '))) AS k, len(l) AS n FROM d WHERE text IS NOT NULL),
+w AS (SELECT doc_id, text, i - 1 AS pos, n, k, i, coalesce(k[i], '') AS a, coalesce(k[i + 1], '') AS b, coalesce(k[i + 2], '') AS c
       FROM (SELECT *, unnest(range(1, greatest(n - 2, 1) + 1)) AS i FROM k WHERE n > 0)),
-x AS (SELECT doc_id, text, pos, n, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id NULLS FIRST, text, pos) AS r FROM w WHERE length(a) + length(b) + length(c) >= {line_dedup.LEAST}),
-gone AS (SELECT DISTINCT doc_id, text, unnest(range(pos, least(pos + 3, n))) AS p FROM x WHERE r > 1),
+y AS (SELECT doc_id, text, pos, n, CASE WHEN length(a) + length(b) + length(c) >= {line_dedup.LEAST} THEN {line_dedup.WINDOW} WHEN i + {line_dedup.LONG - 1} <= n THEN {line_dedup.LONG} END AS size,
+        CASE WHEN length(a) + length(b) + length(c) >= {line_dedup.LEAST} THEN [a, b, c] ELSE list_slice(k, i, i + {line_dedup.LONG - 1}) END AS win FROM w),
+x AS (SELECT doc_id, text, pos, n, size, row_number() OVER (PARTITION BY win ORDER BY doc_id NULLS FIRST, text, pos) AS r FROM y WHERE size IS NOT NULL),
+gone AS (SELECT DISTINCT doc_id, text, unnest(range(pos, least(pos + size, n))) AS p FROM x WHERE r > 1),
 g AS (SELECT doc_id, text, list(p) AS ps FROM gone GROUP BY ALL)
 SELECT d.doc_id, len(d.l)::int AS n_lines, coalesce(len(g.ps), 0)::int AS n_removed,
   length(CASE WHEN g.ps IS NULL THEN d.text ELSE array_to_string(list_filter(d.l, lambda y, i: NOT list_contains(g.ps, i - 1)), '') END)::bigint AS kept_chars,
