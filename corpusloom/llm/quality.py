@@ -9,9 +9,11 @@ The fit needs each class's count, sum and sum of outer products only, so it
 covers all labelled training rows and 2 * (1 + d + d * d) numbers reach the
 driver.  Cases: a null text is empty and gets a score; doc_id null has no
 label; several labels of one doc_id count each, labels other than 0 and 1 or
-null not at all; without rows of both classes the prior alone decides (0.5
-where there is none); repeated rows are scored each; columns of other names
-are carried through or not read.
+null not at all; a class of few rows leans on the pooled covariance the more,
+and only without any row of one class does the prior alone decide (0.5 where
+there is none of either); an empty table gives no rows; texts are read whole;
+repeated rows are scored each; ``score_documents`` reads no other columns,
+``keep_good`` carries all through, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, cut, text_bytes
+from .common import bound_batches, chunks, cut, text_bytes
 
 NAMES = ("words", "word_len", "word_len_sd", "distinct", "upper", "digit", "mark", "odd_mark", "marked_end", "top_word", "line_len", "sentence_len", "short_words", "adjacent", "lone_marks")
 ODD = frozenset(b"%*$#&!|@~^=+<>\\/")
@@ -60,6 +62,7 @@ def statistics(text: bytes) -> list[float]:
 
 def features(docs: DataFrame) -> DataFrame:
     """doc_id and ``x`` (array of doubles) for each row."""
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 1024):
@@ -75,7 +78,7 @@ class Discriminant:
     def __init__(self, n: np.ndarray, s: np.ndarray, ss: np.ndarray, shrink: float = 0.15, diagonal: float = 0.1, ridge: float = 1e-3):
         d, total = s.shape[1], n.sum()
         self.prior = float(np.log((n[1] + 1) / (n[0] + 1))) if total else 0.0
-        self.ready = bool((n > d).all())
+        self.ready = bool((n > 0).all())
         if not self.ready:
             return
         self.mean = s / n[:, None]
@@ -85,7 +88,8 @@ class Discriminant:
         self.low, self.high = self.mean.min(0) - 8 * scale, self.mean.max(0) + 8 * scale
         self.factor, self.logdet = [], []
         for k in (0, 1):
-            m = (1 - shrink) * cov[k] + shrink * pooled
+            lean = max(shrink, (d + 1) / (n[k] + d + 1))  # fewer rows than unknowns: towards the pooled one
+            m = (1 - lean) * cov[k] + lean * pooled
             m = (1 - diagonal) * m + diagonal * np.diag(np.diag(m)) + ridge * np.diag(scale**2) + 1e-9 * np.eye(d)
             f = np.linalg.cholesky(m)
             self.factor.append(np.linalg.inv(f))
@@ -150,14 +154,15 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score ``least`` or more, columns unchanged.
 
-    The texts are scored where they lie, so only the fit moves rows.
+    Texts go to Python in bounded batches and only the verdict comes back; the
+    rows stay in the JVM, which drops those that fail.
     """
+    bound_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(features(docs).where(~held_out()), labels))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches, 1024):
-            texts = b.column(b.schema.get_field_index("text")).to_pylist()
-            x = np.array([statistics((t or "").encode()) for t in texts]).reshape(b.num_rows, len(NAMES))
-            yield b.filter(pa.array(model.value.score(x) >= least))
+    @F.arrow_udf("boolean")
+    def good(texts: pa.Array) -> pa.Array:
+        x = np.array([statistics(t) for t in texts.to_pylist()]).reshape(len(texts), len(NAMES))
+        return pa.array(model.value.score(x) >= least)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(good(text_bytes()))
