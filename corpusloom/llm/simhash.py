@@ -7,7 +7,7 @@ triangle bound of 4 prunes next to nothing.  So the fingerprint is cut into
 block (Hamming distance in that block, itself a metric) with that small radius
 finds every pair.  A node sends a fingerprint inside (d <= mu) or outside, and
 those in the boundary ring (d > mu - r) to both, so each linked pair meets in a
-leaf.  Trees come from a bounded hash sample of the distinct fingerprints.
+leaf.  Trees come from a hash sample of about ``SAMPLE`` distinct fingerprints.
 
 Equal fingerprints are one row.  Within a leaf, links are found by blocks of
 bit counts and reported as a spanning forest, never as all pairs.  A leaf too
@@ -20,8 +20,10 @@ small stars over checkpointed edge tables.
 
 Cases: null and empty texts have fingerprint zero and link like any other;
 fewer than ``width`` words make one shingle; repeated rows and ids keep their
-rows; an empty table gives none.  A null doc_id never names a component unless
-all of its members are null.
+rows; an empty table gives none; texts are read whole; ``groups`` and
+``fingerprints`` return their own columns only, ``keep_one`` all of its input's,
+whatever their names.  A null doc_id never names a component unless all of its
+members are null.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import chunks, cut, text_bytes
+from .common import bound_batches, chunks, cut, spare, text_bytes
 
 BLOCKS, SAMPLE, LEAF, CELL = 3, 16_384, 3_000, 6_000
 SIGN = 1 << 63
@@ -61,6 +63,7 @@ def fingerprint(text: bytes, width: int = 4) -> int:
 def fingerprints(docs: DataFrame, width: int = 4, keep: str | None = None) -> DataFrame:
     """doc_id and ``fp`` (the fingerprint as a signed long) of each row, and the long column ``keep`` if given."""
     more = [keep] if keep else []
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 1024):
@@ -200,7 +203,9 @@ def link_edges(distinct: DataFrame, radius: int, leaf: int = LEAF, cell: int = C
     blocks = masks(BLOCKS)
     r = radius // BLOCKS
     n = distinct.count()
-    drawn = distinct.select("fp").orderBy(F.xxhash64("fp", F.lit(5)), "fp").limit(SAMPLE).collect()
+    # All rows whose hash is below a threshold: about SAMPLE of them, taken where they lie.
+    below = -SIGN + (2 * SIGN * SAMPLE // n if n > SAMPLE else 2 * SIGN - 1)
+    drawn = distinct.where(F.xxhash64("fp", F.lit(5)) <= F.lit(below)).select("fp").collect()
     sample = np.array([x.fp for x in drawn], np.int64).view(np.uint64)
     in_leaf = max(8, int(leaf * len(sample) / max(1, n)))
     trees = [grow(sample, m, r, in_leaf, seed=7 + i) for i, m in enumerate(blocks)]
@@ -263,8 +268,8 @@ def groups(prints: DataFrame, radius: int = 4) -> DataFrame:
     comp = components(link_edges(reps, radius))
     # Components of fingerprints, then the smallest id in each.
     of = reps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
-    low = of.groupBy("comp").agg(F.min("rep").alias("component_id"))
-    named = of.where(F.col("comp").isNotNull()).join(low, "comp").select("fp", "component_id")
+    low = of.groupBy("comp").agg(F.min("rep").alias("component_id")).select(F.expr("comp ^ 0L").alias("k"), "component_id")  # a key of its own, as above
+    named = of.join(low, F.col("comp") == F.col("k")).select("fp", "component_id")
     return fixed.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -274,8 +279,9 @@ def keep_one(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
     Rows are told apart by doc_id and text, so a row goes with its own group only;
     equal rows stay together. A row with a null doc_id goes if its group has an id.
     """
+    d, t = spare(docs, "gone_d", "gone_t")
     rows = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
     named = groups(fingerprints(rows, width), radius).where("component_id is not null").select(F.col("fp").alias("k"), "component_id").distinct()
     marked = fingerprints(rows, width, keep="th").join(named, F.col("fp") == F.col("k")).where("doc_id is null or doc_id != component_id")
-    gone = marked.select(F.col("doc_id").alias("_gone_d"), F.col("th").alias("_gone_th")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_d")) & (F.xxhash64("text") == F.col("_gone_th")), "left_anti").select(*docs.columns)
+    gone = marked.select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(t)), "left_anti").select(*docs.columns)

@@ -140,9 +140,9 @@ def test_shards(spark, small):
 def test_shards_with_a_hot_key(spark, ranges):
     rng = random.Random(2)
     data = [(7 if i % 3 else rng.randrange(1000) if i % 7 else None, rng.choice([1, 5, 400]), "x") for i in range(3000)]
-    df = spark.createDataFrame(data, "k long, size long, shard string").repartition(5)
+    df = spark.createDataFrame(data, "k long, size long, shard string").withColumns({c: F.lit(5) for c in ("key", "uid", "range", "pos", "rank", "_key", "_uid")}).repartition(5)
     rows = sharding.shard(df, F.col("k"), F.col("size"), 8, ranges).collect()
-    assert len(rows) == 3000
+    assert len(rows) == 3000 and {(r["key"], r["uid"], r["pos"], r["_uid"]) for r in rows} == {(5, 5, 5, 5)}
     held_to_law(rows)
     assert sharding.shard(df.limit(0), F.col("k"), F.col("size"), 8).count() == 0
 
@@ -235,7 +235,7 @@ def test_pipeline_stages_equal_brute_force(spark, small):
 
 def test_pipeline_stages_on_odd_tables(spark, small):
     docs = read(spark, small, "documents")
-    extra = docs.limit(20).withColumns({k: F.lit(1) for k in ("h", "d", "th", "drop", "comp", "fp", "leaf", "x", "y", "n", "key", "rep", "label", "batch")})
+    extra = docs.limit(20).withColumns({k: F.lit(1) for k in ("_d", "_uid", "_len", "_drop", "gone_d", "rest", "pack_part", "h", "d", "th", "drop", "comp", "fp", "leaf", "x", "y", "n", "key", "rep", "label", "batch")})
     nulls = extra.limit(3).select(*[F.lit(None).cast(t).alias(c) for c, t in extra.dtypes])
     for start in (extra.limit(0), extra.union(nulls).union(extra.limit(5))):
         out = start

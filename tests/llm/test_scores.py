@@ -124,6 +124,15 @@ def test_quality_scores_odd_rows(spark):
     assert {r.score for r in none} == {0.5}
 
 
+@pytest.mark.parametrize("n", [1, 2, 15, 16, 40])
+def test_discriminant_uses_few_rows(n):
+    rng = np.random.default_rng(n)
+    d = len(quality.NAMES)
+    a, b = rng.normal(0, 1, (n, d)), rng.normal(4, 1, (60, d))
+    m = quality.Discriminant(np.array([n, 60.0]), np.stack([a.sum(0), b.sum(0)]), np.stack([a.T @ a, b.T @ b]))
+    assert m.ready and (m.score(a) < 0.5).all() and (m.score(b) > 0.5).mean() > 0.9
+
+
 def test_discriminant_is_the_density_ratio():
     rng = np.random.default_rng(1)
     d = len(quality.NAMES)
