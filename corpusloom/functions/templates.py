@@ -6,6 +6,7 @@ import re
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _DECOR = re.compile(r"^[\s/*#;!\-=~_|%.<>+:@\"'`]+|[\s*/#=\-~_|]+$")
 _META = re.compile(r"^(author|authors|date|created|file|filename|version|since|maintainer|contact)\b\s*[:=]", re.I)
@@ -37,6 +38,6 @@ def template(text: str | None) -> str | None:
     return out if len(out) >= 40 else plain
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())  # a type, not its text: no session is needed to import this
 def template_of(s: pd.Series) -> pd.Series:
     return s.map(template)

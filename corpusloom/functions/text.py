@@ -143,3 +143,12 @@ def containment(a: Column, b: Column) -> Column:
 def jaccard(a: Column, b: Column) -> Column:
     n = F.size(F.array_union(a, b))
     return F.when(n > 0, F.size(F.array_intersect(a, b)) / n).otherwise(0.0)
+
+
+def record_parts(record_id: Column, metadata: Column | None = None) -> Column:
+    """(remote_path, row_index, comment_index) of a record id; where it has none, ``remote_path`` and ``row_index`` of a metadata JSON."""
+    part = lambda k: F.regexp_extract(record_id, "^(.*)::row::([0-9]+)(?:::comment::([0-9]+))?$", k)
+    of = lambda k, kind: F.try_variant_get(F.try_parse_json(metadata), f"$.{k}", kind) if metadata is not None else F.lit(None).cast(kind)
+    return F.struct(
+        F.coalesce(F.nullif(part(1), F.lit("")), of("remote_path", "string")).alias("remote_path"), F.coalesce(F.nullif(part(2), F.lit("")).cast("long"), of("row_index", "long")).alias("row_index"), F.nullif(part(3), F.lit("")).cast("long").alias("comment_index")
+    )

@@ -30,7 +30,7 @@ def water_fill(cells: DataFrame, name: str, capacity: str, total: int, tolerant:
 
 def systematic(ranked: DataFrame, quotas: DataFrame, key: str, rank: str = "ordinal") -> DataFrame:
     """Rows at ranks floor((2i + 1) * capacity / (2 * quota)) of each key."""
-    picks = quotas.where("quota > 0").select(F.col(key), F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1), lambda i: F.floor((2 * i + 1) * F.col("capacity") / (2 * F.col("quota"))).cast("long"))).alias(rank))
+    picks = quotas.where("quota > 0").select(F.col(key), F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("quota") - 1), lambda i: F.call_function("div", (2 * i + 1) * F.col("capacity"), 2 * F.col("quota")))).alias(rank))
     return ranked.join(picks, [key, rank])
 
 

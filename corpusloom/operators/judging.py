@@ -13,12 +13,13 @@ from ..functions.fuzzy import ground
 REASONS = ("missing_pass", "invalid", "label_disagreement", "signature_disagreement", "low_confidence", "ambiguous_label")
 
 
-def batches(df: DataFrame, id: str, chars: Column, rows: int, budget: int, groups: int = 32) -> DataFrame:
+def batches(df: DataFrame, id: str, chars: Column, rows: int, budget: int, groups: int | None = None) -> DataFrame:
     """``df`` with ``batch``: rows dealt by a hash, then closed at ``rows`` rows or ``budget`` characters, in id order.
 
     The greedy rule needs order, so each hash group runs as one stream; groups
     are independent and their number follows the input.
     """
+    groups = groups or max(32, df.count() // 100_000)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(id)

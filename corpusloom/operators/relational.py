@@ -33,12 +33,32 @@ def ordinals(df: DataFrame, by: list[str], *order: Column, name: str = "ordinal"
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1)
 
 
-def global_ordinals(df: DataFrame, key: str, parts: int = 64, name: str = "ordinal") -> DataFrame:
+def ranged_ordinals(df: DataFrame, by: str, key: str, name: str = "ordinal", rows: int = 1_000_000) -> DataFrame:
+    """Position from 0 within ``by`` in order of a unique ``key``, with no task that sorts a whole group.
+
+    Ranges of the key of about ``rows`` rows are numbered alone and shifted by
+    the group's rows in the ranges before.
+    """
+    n = df.count()
+    parts = min(4096, -(-n // rows))
+    if parts <= 1:
+        return ordinals(df, [by], F.col(key), name=name)
+    cuts = sorted(set(df.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], 4 * parts)).first()[0]))
+    placed = df.withColumn("_p", F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(key))))
+    sizes = placed.groupBy(F.col(by).alias("_by"), F.col("_p").alias("_q")).agg(F.count("*").alias("_n"))
+    before = sizes.select("_by", "_q", (F.sum("_n").over(Window.partitionBy("_by").orderBy("_q")) - F.col("_n")).alias("_before"))
+    within = placed.withColumn(name, F.row_number().over(Window.partitionBy(by, "_p").orderBy(key)) - 1)
+    both = within.join(before, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_p") == F.col("_q")))
+    return both.withColumn(name, (F.col(name) + F.col("_before")).cast("int")).drop("_p", "_q", "_by", "_before")
+
+
+def global_ordinals(df: DataFrame, key: str, parts: int | None = None, name: str = "ordinal") -> DataFrame:
     """Gapless positions from 0 by a unique ``key`` over all rows, without one task that sorts all of them.
 
     Rows are cut into ranges at approximate quantiles of the key; each range is
     numbered alone and shifted by the count of the ranges before it.
     """
+    parts = parts or min(4096, max(2, df.count() // 1_000_000))
     cuts = df.agg(F.percentile_approx(F.col(key), [i / parts for i in range(1, parts)], 100 * parts)).first()[0] or []
     cuts = sorted(set(cuts))
     at = F.lit(0)
@@ -103,8 +123,26 @@ def violations(**rules: DataFrame) -> DataFrame:
     return out
 
 
-def event_pairs(events: DataFrame, by: str, ts: str, kind: str, start: str, finish: str) -> DataFrame:
-    """Each finish with the latest start before it that no other finish has taken; ``by`` may be any key."""
-    w = Window.partitionBy(by).orderBy(ts, "event_id")
+def event_pairs(events: DataFrame, by: str, ts: str, kind: str, start: str, finish: str, id: str = "event_id") -> DataFrame:
+    """Each finish with the latest start before it that no other finish has taken; ``by`` may be any key, ``id`` breaks ties."""
+    w = Window.partitionBy(by).orderBy(ts, id)
     marked = events.where(F.col(kind).isin(start, finish)).withColumn("_prev", F.lag(kind).over(w)).withColumn("_at", F.lag(ts).over(w))
     return marked.where((F.col(kind) == finish) & (F.col("_prev") == start)).select(by, F.col("_at").alias("started"), F.col(ts).alias("finished"))
+
+
+def falls(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
+    """Rows whose value is below that of the row before."""
+    return df.withColumn("_before", F.lag(value).over(Window.partitionBy(*by).orderBy(*order))).where(F.col(value) < F.col("_before")).drop("_before")
+
+
+def rising(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
+    """``df``, whose run fails at a row that ``falls`` would give."""
+    before = F.lag(value).over(Window.partitionBy(*by).orderBy(*order))
+    bad = F.raise_error(F.concat(F.lit(f"{value} falls to "), F.col(value).cast("string"))).cast("boolean")
+    return df.withColumn("_before", before).where(F.when(F.col(value) < F.col("_before"), bad).otherwise(True)).drop("_before")
+
+
+def runs(df: DataFrame, by: list[str], order: list[str], value: str) -> DataFrame:
+    """How often the value changes within each key, the first row included."""
+    marked = df.withColumn("_before", F.lag(value).over(Window.partitionBy(*by).orderBy(*order)))
+    return marked.groupBy(*by).agg(F.count_if(~F.col(value).eqNullSafe(F.col("_before"))).alias("runs"))

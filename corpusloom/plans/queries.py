@@ -43,7 +43,7 @@ def scored(spark, d) -> DataFrame:
     return docs(spark, d).withColumns({k: v for k, v in det.items()}).withColumn("comment_license_score", F.col("best_license_score"))
 
 
-LOW = "lower(coalesce(left(text, 10000), ''))"
+LOW = "lower(coalesce(text, ''))"
 BEST = "greatest(0.0, " + ", ".join(f"CASE WHEN regexp_matches({LOW}, '{p}') THEN {w} ELSE 0.0 END" for _, _, w, p in rules.LICENSES) + ")::double"
 NOTICE = "(" + " OR ".join(f"regexp_matches({LOW}, '{p}')" for _, _, w, p in rules.LICENSES if w >= 95) + ")"
 SCORED = f"(SELECT *, {BEST} AS score, {NOTICE} AS notice FROM documents)"
@@ -64,7 +64,10 @@ def names_sql(rules_) -> str:
 # ---- projections, identity ----
 @query("SELECT doc_id, coalesce(nullif(trim(lang), ''), source) AS language, source AS repo, doc_id::varchar AS record_id FROM documents")
 def project_fallback_columns(spark, d):
-    return docs(spark, d).select("doc_id", F.coalesce(F.nullif(F.trim("lang"), F.lit("")), "source").alias("language"), F.col("source").alias("repo"), F.col("doc_id").cast("string").alias("record_id"))
+    from ..sources.readers import first_of
+
+    rows = docs(spark, d).withColumn("lang", F.nullif(F.trim("lang"), F.lit("")))
+    return rows.select("doc_id", first_of(rows, ["language", "lang", "source"]).alias("language"), first_of(rows, ["repo", "source"]).alias("repo"), first_of(rows, ["record", "doc_id"]).alias("record_id"))
 
 
 @query("SELECT page_id, regexp_extract(url, '^https?://([^/]+)', 1) AS host, lower(regexp_extract(regexp_replace(url, '[?#].*$', ''), '[^/.][^/]*\\.([^./]+)$', 1)) AS ext FROM pages")
@@ -76,8 +79,8 @@ def path_extension(spark, d):
 @query("SELECT doc_id, source || '::row::' || doc_id AS record_id, source AS remote_path, doc_id AS row_index FROM documents")
 def record_identity_parse(spark, d):
     rid = F.concat("source", F.lit("::row::"), F.col("doc_id").cast("string"))
-    parse = "^(.*)::row::([0-9]+)(?:::comment::([0-9]+))?$"
-    return docs(spark, d).select("doc_id", rid.alias("record_id")).select("doc_id", "record_id", F.regexp_extract("record_id", parse, 1).alias("remote_path"), F.regexp_extract("record_id", parse, 2).cast("long").alias("row_index"))
+    named = docs(spark, d).select("doc_id", rid.alias("record_id"))
+    return named.select("doc_id", "record_id", X.record_parts(F.col("record_id")).alias("p")).select("doc_id", "record_id", "p.remote_path", "p.row_index")
 
 
 @query(f"SELECT doc_id, {HASH} AS comment_hash, substr(sha256(source || chr(0) || doc_id || chr(0) || {HASH}), 1, 24) AS example_id FROM documents")
@@ -175,7 +178,7 @@ QUAL = ["apache-2.0", "mit", "gpl-3.0", "cc-by-nc-4.0", "spdx"]
 
 @query("SELECT expression, count(*)::bigint AS n FROM (" + " UNION ALL ".join(f"SELECT '{e}' AS expression FROM documents WHERE regexp_matches({LOW}, '{p}')" for _, e, w, p in rules.LICENSES if w >= 95) + ") GROUP BY 1")
 def license_qualified_matches(spark, d):
-    good = rules.qualified(rules.matches(F.left("text", F.lit(10_000))))
+    good = rules.qualified(rules.matches(F.col("text")))
     return docs(spark, d).select(F.explode(good).alias("m")).groupBy(F.col("m.expression").alias("expression")).agg(F.count("*").alias("n"))
 
 
@@ -260,7 +263,7 @@ ELIG = f"(SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc
 
 
 def eligible(spark, d):
-    return relational.ordinals(scored(spark, d).where("comment_license_score < 90").select("doc_id", "lang"), ["lang"], F.col("doc_id"))
+    return relational.ranged_ordinals(scored(spark, d).where("comment_license_score < 90").select("doc_id", "lang"), "lang", "doc_id")
 
 
 @query(f"SELECT doc_id, lang, ordinal::int AS ordinal FROM {ELIG}")
@@ -331,15 +334,12 @@ def package_packing(spark, d):
 
 @query("SELECT user_id, event_id FROM (SELECT user_id, event_id, value, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) WHERE value < before")
 def monotonic_violations(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return table(spark, d, "events").withColumn("before", F.lag("value").over(w)).where("value < before").select("user_id", "event_id")
+    return relational.falls(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value").select("user_id", "event_id")
 
 
 @query("SELECT user_id, count_if(event_type IS DISTINCT FROM before)::bigint AS runs FROM (SELECT user_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events) GROUP BY 1")
 def source_run_count(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    ev = table(spark, d, "events").withColumn("before", F.lag("event_type").over(w))
-    return ev.groupBy("user_id").agg(F.count_if(~F.col("event_type").eqNullSafe(F.col("before"))).alias("runs"))
+    return relational.runs(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "event_type")
 
 
 # ---- near duplicates ----
@@ -379,7 +379,8 @@ def neardup_classes(spark, d):
     return graph.members(grams(spark, d, 5), "doc_id", "s").select("doc_id", "class_id")
 
 
-@query()
+@query(f"""WITH RECURSIVE p AS ({pair_sql(5, 0.82, 1)}), e AS (SELECT a, b FROM p UNION SELECT b, a FROM p), r(a, b) AS (SELECT a, a FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT component, count(*)::bigint AS n FROM (SELECT a, min(b) AS component FROM r GROUP BY a) GROUP BY 1""")
 def components_size(spark, d):
     pairs = graph.similar_pairs(grams(spark, d, 5), "doc_id", "s", 0.82)
     return graph.components(pairs).groupBy("component").agg(F.count("*").alias("n"))
@@ -552,3 +553,6 @@ def returned_revenue(spark, d):
     li, o, c, n = (table(spark, d, t) for t in ("lineitem", "orders", "customer", "nation"))
     j = li.where("l_returnflag = 'R'").join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
     return j.groupBy("n_name").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count_distinct("o_orderkey").alias("orders"))
+
+
+from . import more  # noqa: E402, F401  registers further queries

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.fuzzy import Matcher
+from ..functions.fuzzy import PhraseSearch
 from ..functions.text import joined_id, text_hash, tokens
 
 FAMILIES = {
@@ -39,17 +39,17 @@ def anchor_pairs(df: DataFrame, id: str, text: str, inventory: DataFrame) -> Dat
 
 def fuzzy(df: DataFrame, text: str, seed_list: list[tuple[str, str]], threshold: float = 0.82) -> DataFrame:
     """``df`` with ``matches``: one best window a seed; texts without any anchor aren't sent to Python."""
-    matcher = Matcher(seed_list, threshold)
+    search = PhraseSearch(seed_list, threshold)
     shared = df.sparkSession.sparkContext.broadcast(seed_list)
     made: dict = {}
 
     @F.pandas_udf("array<struct<group:string,phrase:string,score:double,excerpt:string,start:int,end:int,ordinal:int>>")
     def run(s: pd.Series) -> pd.Series:
-        m = made.setdefault("m", None) or Matcher(shared.value, threshold)
+        m = made.setdefault("m", None) or PhraseSearch(shared.value, threshold)
         made["m"] = m
-        return s.map(m.match)
+        return s.map(m.find)
 
-    anchors = sorted(matcher.index)
+    anchors = sorted(search.by_anchor)
     low = F.lower(F.coalesce(text, F.lit("")))
     near = F.lit(False)
     for a in anchors:

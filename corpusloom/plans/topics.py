@@ -34,3 +34,10 @@ def summary(df: DataFrame, order: str, text: str, n: int = 3, chars: int = 120)
     w = Window.partitionBy("topic_label").orderBy(order)
     top = df.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= n).groupBy("topic_label").agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", F.left(text, F.lit(chars)).alias("t")))), lambda x: x["t"]).alias("examples"))
     return df.groupBy("topic_label").agg(F.count("*").alias("n")).join(top, "topic_label")
+
+
+def samples(df: DataFrame, topic: str, id: str, text: str, topics: int, rows: int, outlier: str, chars: int = 1200) -> DataFrame:
+    """For a judge: the first ``rows`` texts, trimmed, of each of the ``topics`` largest topics without the outliers."""
+    n = df.where(F.col(topic) != outlier).groupBy(topic).agg(F.count("*").alias("n")).orderBy(F.desc("n"), topic).limit(topics).select(topic)
+    few = df.join(n, topic, "left_semi").withColumn("_r", F.row_number().over(Window.partitionBy(topic).orderBy(id))).where(F.col("_r") <= rows)
+    return few.select(F.col(topic).alias("topic"), id, F.left(text, F.lit(chars)).alias("sample"))

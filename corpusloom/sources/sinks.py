@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import path_segment, split_name
@@ -59,14 +60,37 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("header", True).csv(path)
 
 
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    """One file from a store that Spark reads to another, through a name of its own, so that no reader sees half of it."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    a, b, stage = (jvm.org.apache.hadoop.fs.Path(x) for x in (source, target, f"{target}.part-{uuid.uuid4().hex}"))
+    fs = b.getFileSystem(conf)
+    if not fs.exists(b):
+        jvm.org.apache.hadoop.fs.FileUtil.copy(a.getFileSystem(conf), a, fs, stage, False, conf)
+        if not fs.rename(stage, b):
+            raise OSError(f"can't rename to {target}")
+
+
+def mirror(df: DataFrame, root: str, target: str, add: dict[str, Column]) -> None:
+    """All columns of a tree's rows and ``add``, in folders of the same names under ``target``; older added columns go first."""
+    rel = F.regexp_replace(F.col("_metadata.file_path"), "^(file:)?/*" + re.escape(root.removeprefix("file:").strip("/")) + "/|[^/]+$", "")
+    rows = df.select("*", rel.alias("_folder")).drop(*add).withColumns(add)
+    folders = [r[0] for r in rows.select("_folder").distinct().collect()]  # one row a (dataset, language) folder
+    for f in folders:
+        rows.where(F.col("_folder") == f).drop("_folder").write.mode("errorifexists").option("compression", "zstd").parquet(f"{target}/{f}")
+
+
 def publish(df: DataFrame, target: str, verify, marker: str = "_OURS") -> None:
-    """Writes beside the target, verifies, then renames; a folder without our marker is never replaced."""
+    """Writes beside the target, verifies, then renames; a folder without our marker is never replaced, and a lock file keeps a second run out."""
     spark = df.sparkSession
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
     fs = path(target).getFileSystem(conf)
     if fs.exists(path(target)) and not fs.exists(path(f"{target}/{marker}")):
         raise ValueError(f"{target} exists and is not of this engine")
+    lock = path(f"{target}.lock")
+    if not fs.createNewFile(lock):
+        raise ValueError(f"another run publishes to {target}")
     stage, old = f"{target}.stage-{uuid.uuid4().hex}", f"{target}.old-{uuid.uuid4().hex}"
     try:
         df.write.option("compression", "zstd").parquet(stage)
@@ -74,11 +98,14 @@ def publish(df: DataFrame, target: str, verify, marker: str = "_OURS") -> None:
         if not bad.isEmpty():
             raise ValueError(f"verification failed: {bad.limit(5).collect()}")
         write_text(spark, f"{stage}/{marker}", "")
-        if fs.exists(path(target)):
-            fs.rename(path(target), path(old))
+        had = fs.exists(path(target))
+        if had and not fs.rename(path(target), path(old)):
+            raise OSError(f"can't move {target} aside")
         if not fs.rename(path(stage), path(target)):
-            fs.rename(path(old), path(target))
+            if had:
+                fs.rename(path(old), path(target))
             raise OSError(f"can't rename to {target}")
         fs.delete(path(old), True)
     finally:
         fs.delete(path(stage), True)
+        fs.delete(lock, False)

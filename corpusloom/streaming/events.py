@@ -80,6 +80,37 @@ def durations(df: DataFrame, col: str) -> DataFrame:
 
 def latest_progress(df: DataFrame, key: str, ts: str, value: str) -> DataFrame:
     """The last value of each key, and never less than one seen before."""
-    w = Window.partitionBy(key).orderBy(ts)
-    top = df.withColumn("_m", F.max(value).over(w))
-    return top.groupBy(key).agg(F.max_by("_m", ts).alias(value))
+    return df.groupBy(key).agg(F.max(value).alias(value))  # what never falls ends at its maximum
+
+
+def latest_durations(df: DataFrame, ts: str, id: str, value: str, n: int = 100, shown: int = 5) -> DataFrame:
+    """Statistics of the latest ``n`` durations and the latest ``shown`` of them, newest first; the limit is the feature."""
+    last = df.select(F.col(ts).alias("t"), F.col(id).alias("i"), F.col(value).alias("v")).where("v is not null").orderBy(F.desc("t"), F.desc("i")).limit(n)
+    newest = F.transform(F.slice(F.sort_array(F.collect_list(F.struct("t", "i", "v")), asc=False), 1, shown), lambda x: x["v"])
+    stats = durations(last, "v")
+    return stats.join(last.agg(newest.alias("latest")), how="inner")  # one row by one row
+
+
+def group_progress(listed: DataFrame, done: DataFrame, active: DataFrame, group: str, id: str) -> DataFrame:
+    """group, total, completed, active: three counts in one pass over marked rows."""
+    mark = lambda df, k: df.select(group, *[F.lit(int(k == x)).alias(x) for x in ("total", "completed", "active")])
+    every = mark(listed, "total").unionByName(mark(done, "completed")).unionByName(mark(active, "active"))
+    return every.groupBy(group).agg(*[F.sum(x).cast("long").alias(x) for x in ("total", "completed", "active")])
+
+
+def usage(df: DataFrame, by: list[str], *cols: str) -> DataFrame:
+    """Sums of token and retry counts, null as none."""
+    return df.groupBy(*by).agg(F.count("*").alias("calls"), *[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in cols])
+
+
+def completion(checkpoints: DataFrame, inventory: DataFrame, shard: str, at: str, done: str, size: str, rate: float) -> DataFrame:
+    """One row: shards, those begun, what their latest checkpoints add up to, what is left, and seconds to go at ``rate``."""
+    latest = checkpoints.groupBy(shard).agg(F.max_by(done, at).alias("_done"))
+    both = inventory.join(latest, shard, "left")
+    left = F.sum(F.greatest(F.col(size) - F.coalesce("_done", F.lit(0)), F.lit(0)))
+    return both.agg(F.count("*").alias("shards"), F.count("_done").alias("begun"), F.coalesce(F.sum("_done"), F.lit(0)).alias("done"), left.alias("left")).withColumn("eta_seconds", F.round(F.col("left") / rate, 3))
+
+
+def log_time(line: Column) -> Column:
+    """The leading time stamp of a log line, null without one."""
+    return F.try_to_timestamp(F.regexp_extract(line, "^([0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2},[0-9]{3})", 1), F.lit("yyyy-MM-dd HH:mm:ss,SSS"))

@@ -96,10 +96,10 @@ def test_blank_lines_between_comments():
 
 
 def test_fuzzy_matches():
-    m = fuzzy.Matcher([("g", "may not be redistributed"), ("g", "funded by a government grant")])
-    assert m.match("This MAY not be  redistributed at all.")[0]["score"] == 1.0
-    assert m.match("it may not be ever redistributed")[0]["score"] >= 0.82
-    assert m.match("nothing of that kind") == [] and m.match(None) == []
+    m = fuzzy.PhraseSearch([("g", "may not be redistributed"), ("g", "funded by a government grant")])
+    assert m.find("This MAY not be  redistributed at all.")[0]["score"] == 1.0
+    assert m.find("it may not be ever redistributed")[0]["score"] >= 0.82
+    assert m.find("nothing of that kind") == [] and m.find(None) == []
 
 
 def test_scalar_functions(spark):
