@@ -4,13 +4,17 @@ Documents are normalised like the benchmark (A-Z lower-cased, words of letters,
 digits and non-ASCII characters).  The benchmark's words are numbered, a
 document's words looked up in that table, and every run of words that the
 benchmark knows is hashed by windows; hits are then verified word by word.
-The set is broadcast when its words number at most ``BOUND``; a larger
-benchmark is dealt into slices of that bound, whose passes are merged, so no
-broadcast outgrows the bound.
+The set is broadcast when its words number at most ``BOUND``.  A larger
+benchmark is dealt into slices of that bound; each has a pass of its own over
+the documents, whose hits are written before its broadcast is freed, so driver
+and workers hold one slice at a time, and the passes are merged by document.
 
 Cases: null texts have no words; items without words match nothing; an item of
-fewer than ``n`` words is one window; equal items each count; repeated rows are
-reported each; empty tables give no rows (documents) or no hits (benchmark).
+fewer than ``n`` words is one window; equal items each count; a null item_id is
+left out; texts are scanned whole, however long; repeated rows and ties are
+reported each; empty tables give no rows (documents) or no hits (benchmark);
+``find`` returns its own columns only, ``clean`` all of its input's, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -18,13 +22,15 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, text_bytes
+from .common import bound_batches, chunks, cut, spare, text_bytes
 
 #: Benchmark words in one broadcast set at most.
 BOUND = 2_000_000
@@ -87,39 +93,69 @@ class Grams:
         return mask, items
 
 
-def benchmark_sets(spark, benchmark: DataFrame, n: int) -> list:
-    """Broadcast n-gram sets that cover the benchmark, each of at most ``BOUND`` words (one longer item alone aside)."""
+def slices(benchmark: DataFrame) -> Iterator[list[tuple[str, bytes]]]:
+    """The benchmark in parts of at most ``BOUND`` words (one longer item alone aside)."""
     rows = benchmark.select(F.col("item_id").cast("string").alias("i"), text_bytes().alias("t")).where("i is not null").orderBy("i", "t")
-    sets, part, size = [], [], 0
+    part, size, none = [], 0, True
     for r in rows.toLocalIterator():
+        n = len(r.t) // 2 + 1
+        if part and size + n > BOUND:
+            yield part
+            part, size, none = [], 0, False
         part.append((r.i, bytes(r.t)))
-        size += len(r.t) // 2 + 1
-        if size >= BOUND:
-            sets.append(spark.sparkContext.broadcast(Grams(part, n)))
-            part, size = [], 0
-    return sets + [spark.sparkContext.broadcast(Grams(part, n))] if part or not sets else sets
+        size += n
+    if part or none:
+        yield part
 
 
-def find(docs: DataFrame, benchmark: DataFrame, n: int = 8) -> DataFrame:
-    """doc_id, n_words, n_hit and ``items`` (sorted item ids as text) of each row."""
-    sets = benchmark_sets(docs.sparkSession, benchmark, n)
+def scan(docs: DataFrame, part: list, n: int) -> tuple[DataFrame, Broadcast]:
+    """doc_id, th, n_words, ``at`` (positions of hit words) and ``items`` of each row, for one slice; and its broadcast."""
+    bound_batches(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(Grams(part, n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 1024):
-            total, hit, items = [], [], []
-            for t in b.column(1).to_pylist():
+            total, at, items = [], [], []
+            for t in b.column(2).to_pylist():
                 w = words_of(t)
-                mask, got = np.zeros(len(w), bool), set()
-                for s in sets:
-                    m, g = s.value.hits(w)
-                    mask |= m
-                    got |= g
+                mask, got = shared.value.hits(w)
                 total.append(len(w))
-                hit.append(int(mask.sum()))
+                at.append(np.flatnonzero(mask).astype(np.int32))
                 items.append(sorted(got))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total, pa.int64()), pa.array(hit, pa.int64()), pa.array(items, pa.list_(pa.string()))], ["doc_id", "n_words", "n_hit", "items"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(total, pa.int64()), pa.array(at, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))], ["doc_id", "th", "n_words", "at", "items"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), text_bytes().alias("t"))
+    return rows.mapInArrow(run, "doc_id long, th long, n_words long, at array<int>, items array<string>"), shared
+
 
-    return docs.select(F.col("doc_id").cast("long"), text_bytes().alias("t")).mapInArrow(run, "doc_id long, n_words long, n_hit long, items array<string>")
+def marks(docs: DataFrame, parts: Iterator[list], n: int) -> DataFrame:
+    """doc_id, th, at, items of each hit document over all slices: a written pass a slice, merged."""
+    out = None
+    for part in parts:
+        rows, shared = scan(docs, part, n)
+        hits = cut(rows.where(F.size("at") > 0).select("doc_id", "th", "at", "items"))
+        shared.destroy()
+        out = hits if out is None else out.unionByName(hits)
+    all_of = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    return out.groupBy("doc_id", "th").agg(all_of("at"), all_of("items"))
+
+
+def two_at_most(benchmark: DataFrame) -> tuple[list, Iterator[list]]:
+    """The first slice or two, to tell whether one is all, and an iterator of all slices."""
+    every = slices(benchmark)
+    first = list(islice(every, 2))
+    return first, chain(first, every)
+
+
+def find(docs: DataFrame, benchmark: DataFrame, n: int = 8) -> DataFrame:
+    """doc_id, n_words, n_hit and ``items`` (sorted item ids as text) of each row."""
+    first, every = two_at_most(benchmark)
+    rows, shared = scan(docs, first[0] if len(first) == 1 else [], n)
+    if len(first) > 1:
+        hits = marks(docs, every, n).withColumnsRenamed({"doc_id": "d", "th": "t", "at": "a", "items": "i"})
+        none = F.array().cast("array<string>")
+        rows = rows.join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left").withColumns({"at": F.coalesce("a", F.array().cast("array<int>")), "items": F.coalesce("i", none)})
+    return rows.select("doc_id", "n_words", F.size("at").cast("long").alias("n_hit"), "items")
 
 
 def item_digest(items: list[str]) -> str:
@@ -132,29 +168,45 @@ def clean(docs: DataFrame, benchmark: DataFrame, n: int = 8, drop: bool = True,
     ``drop``: rows with ``least`` hit words or more go; else the hit words (and
     what stands between hit neighbours) are cut out of the text.
     """
-    sets = benchmark_sets(docs.sparkSession, benchmark, n)
-
-    def mask_of(t: bytes) -> np.ndarray:
-        w = words_of(t)
+    first, every = two_at_most(benchmark)
+    bound_batches(docs.sparkSession)
+    many = len(first) > 1
+    shared = docs.sparkSession.sparkContext.broadcast(Grams([] if many else first[0], n))
+    rows, at = docs, ""
+    if many:
+        d, t, at = spare(docs, "hit_d", "hit_t", "hit_at")
+        hits = marks(docs, every, n).select(F.col("doc_id").alias(d), F.col("th").alias(t), F.col("at").alias(at))
+        rows = docs.join(hits, docs["doc_id"].cast("long").eqNullSafe(F.col(d)) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(t)), "left").drop(d, t)
+        if drop:
+            return rows.where(F.coalesce(F.size(at), F.lit(0)) < least).select(*docs.columns)
+
+    def masked(t: str | None, spots: list[int] | None) -> np.ndarray:
+        w = words_of((t or "").encode())
+        if not many:
+            return shared.value.hits(w)[0]
         mask = np.zeros(len(w), bool)
-        for s in sets:
-            mask |= s.value.hits(w)[0]
+        mask[spots or []] = True
         return mask
 
+    if drop:
+
+        @F.arrow_udf("boolean")
+        def fine(texts: pa.Array) -> pa.Array:
+            return pa.array([int(masked(t, None).sum()) < least for t in texts.to_pylist()], pa.bool_())
+
+        return docs.where(fine(F.col("text")))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 1024):
             k = b.schema.get_field_index("text")
             texts = b.column(k).to_pylist()
-            masks = [mask_of((t or "").encode()) for t in texts]
-            if drop:
-                yield b.filter(pa.array([int(m.sum()) < least for m in masks], pa.bool_()))
-            else:
-                out = [without(t, m) if t else t for t, m in zip(texts, masks, strict=True)]
-                cols = list(b.columns)
-                cols[k] = pa.array(out, b.schema.field(k).type)
-                yield pa.RecordBatch.from_arrays(cols, schema=b.schema)
-
-    return docs.mapInArrow(run, docs.schema)
+            spots = b.column(b.num_columns - 1).to_pylist() if many else [None] * len(texts)
+            cols = list(b.columns)[: len(names)]
+            cols[k] = pa.array([without(t, masked(t, p)) if t else t for t, p in zip(texts, spots, strict=True)], b.schema.field(k).type)
+            yield pa.RecordBatch.from_arrays(cols, names)
+
+    names = docs.columns
+    return rows.mapInArrow(run, docs.schema)
 
 
 def without(text: str, mask: np.ndarray) -> str:

@@ -7,7 +7,9 @@ resemblance and containment, one the number of distinct shingles.
 
 Cases: a null text is empty, with an empty sketch; two empty sketches resemble
 each other fully, an empty and another not at all; equal texts have equal
-sketches; texts of any length are hashed whole.
+sketches; texts of any length are hashed whole; repeated rows each get a row, and
+rows of one doc_id follow each other in the order of a hash of their texts; an
+empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ touches and the sums on their paths.
 
 Cases: a null text is empty (no tokens); edits out of range are clipped to the
 text; edits apply in order, each to the result of the one before; repeated rows
-are counted each; an empty table gives no rows.
+are counted each; an empty table gives no rows; texts of any length are counted
+whole; extra columns are not read, and the result has its own columns only.
 """
 
 from __future__ import annotations

@@ -167,8 +167,10 @@ def test_decontamination_equals_brute_force(spark, small, monkeypatch):
     assert sorted((tuple(r) for r in queries.op8_benchmark_hits(spark, small).collect()), key=str) == want
 
 
-def test_decontamination_of_odd_rows(spark):
-    docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "Keep This. one two-three FOUR five six seven eight! Tail", 0), (3, "tiny item here", 0), (None, "zzz", 0)], "doc_id long, text string, item_id int")
+@pytest.mark.parametrize("bound", [2_000_000, 8])
+def test_decontamination_of_odd_rows(spark, monkeypatch, bound):
+    monkeypatch.setattr(decontam, "BOUND", bound)
+    docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "Keep This. one two-three FOUR five six seven eight! Tail", 0), (3, "tiny item here", 0), (None, "zzz", 0)], "doc_id long, text string, hit_d int")
     bench = spark.createDataFrame([(1, "one two three four five six seven eight"), (2, "Tiny, item"), (None, "zzz"), (4, None), (5, "...")], "item_id long, text string")
     got = {(r.doc_id, r.n_words): (r.n_hit, r["items"]) for r in decontam.find(docs, bench).collect()}
     assert got == {(1, 0): (0, []), (2, 0): (0, []), (3, 11): (8, ["1"]), (3, 3): (2, ["2"]), (None, 1): (0, [])}
