@@ -47,6 +47,16 @@ def spare(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def where_python(df: DataFrame, test, arg: Column) -> DataFrame:
+    """The rows of ``df`` for which the Arrow UDF ``test`` holds.
+
+    It is a column of its own that no rule may move: merged with the filters of
+    other plans, a Python predicate can end where Spark doesn't evaluate it.
+    """
+    (flag,) = spare(df, "passes")
+    return df.withColumn(flag, test.asNondeterministic()(arg)).where(F.col(flag)).drop(flag)
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Lowers the session's limits for Arrow batches to ``BATCH_ROWS`` and ``BATCH_BYTES`` where they are above.
 

@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, chunks, cut, spare, text_bytes
+from .common import bound_batches, chunks, cut, spare, text_bytes, where_python
 
 #: Benchmark words in one broadcast set at most.
 BOUND = 2_000_000
@@ -194,7 +194,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, n: int = 8, drop: bool = True,
         def fine(texts: pa.Array) -> pa.Array:
             return pa.array([int(masked(t, None).sum()) < least for t in texts.to_pylist()], pa.bool_())
 
-        return docs.where(fine(F.col("text")))
+        return where_python(docs, fine, F.col("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 1024):

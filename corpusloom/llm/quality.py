@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, chunks, cut, text_bytes
+from .common import bound_batches, chunks, cut, text_bytes, where_python
 
 NAMES = ("words", "word_len", "word_len_sd", "distinct", "upper", "digit", "mark", "odd_mark", "marked_end", "top_word", "line_len", "sentence_len", "short_words", "adjacent", "lone_marks")
 ODD = frozenset(b"%*$#&!|@~^=+<>\\/")
@@ -165,4 +165,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFra
         x = np.array([statistics(t) for t in texts.to_pylist()]).reshape(len(texts), len(NAMES))
         return pa.array(model.value.score(x) >= least)
 
-    return docs.where(good(text_bytes()))
+    return where_python(docs, good, text_bytes())
