@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -36,6 +37,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the cluster's checkpoint folder and read from there.
+
+    A checkpoint computes its last stage twice, once to count and once to write;
+    this does so once, and the reader knows the size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spare(df: DataFrame, *names: str) -> list[str]:
     """``names``, each with as many underscores behind it as it takes to differ from the columns of ``df``."""
     taken, out = {c.lower() for c in df.columns}, []

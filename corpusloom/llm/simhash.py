@@ -16,13 +16,12 @@ dense hubs already are linked through that hub, and hubs of one sampled
 component through the sample's spanning links, so they need no comparison with
 each other and are dealt over cells, while the others visit every cell
 (pairwise cells if there are many).  Components come from alternating large and
-small stars over checkpointed edge tables.
+small stars over written edge tables.
 
 Cases: null and empty texts have fingerprint zero and link like any other;
 fewer than ``width`` words make one shingle; repeated rows and ids keep their
 rows; an empty table gives none; texts are read whole; ``groups`` and
-``fingerprints`` return their own columns only, ``keep_one`` all of its input's,
-whatever their names.  A null doc_id never names a component unless all of its
+``fingerprints`` return their own columns only.  A null doc_id never names a component unless all of its
 members are null.
 """
 
@@ -36,41 +35,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import bound_batches, chunks, cut, spare, text_bytes
+from .common import bound_batches, chunks, stored, text_bytes
 
 BLOCKS, SAMPLE, LEAF, CELL = 3, 16_384, 3_000, 6_000
 SIGN = 1 << 63
 
 
-def fingerprint(text: bytes, width: int = 4) -> int:
-    """64-bit SimHash of the word shingles of ``text``, repeats included; 0 without words."""
+def shingle_hashes(text: bytes, width: int) -> np.ndarray:
+    """The hash of each word shingle of ``text`` in order, repeats included; fewer words make one, no words none."""
     words = text.lower().split()
-    if not words:
-        return 0
-    if len(words) <= width:
-        return xxh64_intdigest(b" ".join(words), 42)
     joined = b" ".join(words)
+    if len(words) <= width:
+        return np.array([xxh64_intdigest(joined, 42)] if words else [], np.uint64)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate([[0], ends[:-1]])[: len(words) - width + 1].tolist()
     stops = (ends[width - 1 :] - 1).tolist()
-    h = np.fromiter([xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, stops, strict=True)], np.uint64, len(starts))
+    return np.fromiter([xxh64_intdigest(joined[a:b], 42) for a, b in zip(starts, stops, strict=True)], np.uint64, len(starts))
+
+
+def folded(h: np.ndarray) -> int:
+    """The bits set in over half of the hashes; 0 for none."""
     ones = np.zeros(64, np.int64)
     for at in range(0, len(h), 4096):
         ones += np.unpackbits(h[at : at + 4096].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
     return int.from_bytes(np.packbits(ones * 2 > len(h)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = 4, keep: str | None = None) -> DataFrame:
-    """doc_id and ``fp`` (the fingerprint as a signed long) of each row, and the long column ``keep`` if given."""
-    more = [keep] if keep else []
+def fingerprint(text: bytes, width: int = 4) -> int:
+    """64-bit SimHash of the word shingles of ``text``, repeats included; 0 without words."""
+    return folded(shingle_hashes(text, width))
+
+
+def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
+    """doc_id and ``fp`` (the fingerprint as a signed long) of each row."""
     bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in chunks(batches, 1024):
             f = np.array([fingerprint(t, width) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(f), *b.columns[2:]], ["doc_id", "fp", *more])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(f)], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), text_bytes().alias("t"), *more).mapInArrow(run, ", ".join(f"{c} long" for c in ["doc_id", "fp", *more]))
+    return docs.select(F.col("doc_id").cast("long"), text_bytes().alias("t")).mapInArrow(run, "doc_id long, fp long")
 
 
 def masks(blocks: int) -> list[np.uint64]:
@@ -179,7 +184,7 @@ def hubs_of(sample: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, li
 
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """node, comp (the smallest node reachable) for the nodes of ``edges`` (a, b), by large and small stars."""
-    e = cut(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    e = stored(edges.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
     for _ in range(rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -187,7 +192,7 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         large = both.join(low, F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         floor = large.groupBy("u").agg(F.min("v").alias("m")).select(F.expr("u ^ 0L").alias("k"), "m")
         small = large.join(floor, F.col("u") == F.col("k")).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        e = cut(small)
+        e = stored(small)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == seen:
             break
@@ -227,7 +232,7 @@ def link_edges(distinct: DataFrame, radius: int, leaf: int = LEAF, cell: int = C
                 for i, idx in enumerate(route(tree, f, m, r)):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(idx), (k << 32) + i)), pa.array(f[idx].view(np.int64)), pa.array(label[idx]), pa.nulls(len(idx), pa.int64())], ["leaf", "fp", "label", "hub"])
 
-    visits = cut(distinct.select("fp").mapInArrow(spread, "leaf long, fp long, label long, hub long"))
+    visits = stored(distinct.select("fp").mapInArrow(spread, "leaf long, fp long, label long, hub long"))
     homes = visits.where("leaf is not null")
     plan = []
     by_leaf = homes.groupBy("leaf", "label").agg(F.count("*").alias("n")).groupBy("leaf").agg(F.sum("n").alias("n"), F.max(F.struct(F.when(F.col("label") >= 0, F.col("n")).otherwise(0).alias("n"), "label")).alias("top"))
@@ -261,27 +266,17 @@ def link_edges(distinct: DataFrame, radius: int, leaf: int = LEAF, cell: int = C
     return found.unionByName(ties).unionByName(distinct.sparkSession.createDataFrame(spans, "a long, b long"))
 
 
-def groups(prints: DataFrame, radius: int = 4) -> DataFrame:
-    """``prints`` (doc_id, fp) with component_id: the smallest doc_id reachable by links of at most ``radius`` bits."""
-    fixed = cut(prints)
-    reps = cut(fixed.groupBy("fp").agg(F.min("doc_id").alias("rep")))
+def labels(reps: DataFrame, radius: int = 4) -> DataFrame:
+    """fp, component_id (the smallest rep reachable) for the distinct fingerprints ``reps`` (fp, rep)."""
     comp = components(link_edges(reps, radius))
     # Components of fingerprints, then the smallest id in each.
     of = reps.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("comp", F.coalesce("comp", "fp"))
     low = of.groupBy("comp").agg(F.min("rep").alias("component_id")).select(F.expr("comp ^ 0L").alias("k"), "component_id")  # a key of its own, as above
-    named = of.join(low, F.col("comp") == F.col("k")).select("fp", "component_id")
-    return fixed.join(named, "fp").select("doc_id", "fp", "component_id")
+    return of.join(low, F.col("comp") == F.col("k")).select("fp", "component_id")
 
 
-def keep_one(docs: DataFrame, radius: int = 4, width: int = 4) -> DataFrame:
-    """``docs`` with one row for each group of near-duplicates: the one with the smallest doc_id.
-
-    Rows are told apart by doc_id and text, so a row goes with its own group only;
-    equal rows stay together. A row with a null doc_id goes if its group has an id.
-    """
-    d, t = spare(docs, "gone_d", "gone_t")
-    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    named = groups(fingerprints(rows, width), radius).where("component_id is not null").select(F.col("fp").alias("k"), "component_id").distinct()
-    marked = fingerprints(rows, width, keep="th").join(named, F.col("fp") == F.col("k")).where("doc_id is null or doc_id != component_id")
-    gone = marked.select(F.col("doc_id").alias(d), F.col("th").alias(t)).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(t)), "left_anti").select(*docs.columns)
+def groups(prints: DataFrame, radius: int = 4) -> DataFrame:
+    """``prints`` (doc_id, fp) with component_id: the smallest doc_id reachable by links of at most ``radius`` bits."""
+    fixed = stored(prints)
+    named = labels(stored(fixed.groupBy("fp").agg(F.min("doc_id").alias("rep"))), radius)
+    return fixed.join(named, "fp").select("doc_id", "fp", "component_id")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 import corpus_pipeline
-from corpusloom.llm import packing, quality, queries, sharding, simhash
+from corpusloom.llm import near, packing, quality, queries, sharding, simhash
 from corpusloom.llm.common import read
 
 from .test_text_ops import brute_dedup, brute_hits
@@ -47,6 +47,23 @@ def brute_groups(rows, radius=4):
     return {d: low[root(i)] for i, (d, _) in enumerate(rows)}
 
 
+def brute_near(rows, width=5):
+    """{id: smallest reachable id} over all pairs of texts whose shingle sets have a Jaccard likeness of 0.8 or more."""
+    sets = []
+    for _, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets.append({tuple(w[i : i + width]) for i in range(max(len(w) - width + 1, 1))} if w else set())
+    of = list(range(len(rows)))
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        a, b = sets[i], sets[j]
+        if of[i] != of[j] and (a == b or 5 * len(a & b) >= 4 * len(a | b)):
+            of = [of[i] if x == of[j] else x for x in of]
+    low = defaultdict(lambda: 1 << 62)
+    for (d, _), c in zip(rows, of, strict=True):
+        low[c] = min(low[c], d)
+    return {d: low[c] for (d, _), c in zip(rows, of, strict=True)}
+
+
 def planted(n, seed):
     rng = random.Random(seed)
     out = []
@@ -98,15 +115,52 @@ def test_simhash_of_odd_rows(spark):
     df = spark.createDataFrame([(4, None, 0), (2, "", 1), (3, " \n", 2), (9, "one two", 3), (8, "One  TWO", 4), (8, "One  TWO", 5), (7, "z " * 100_000, 6)], "doc_id long, text string, fp int")
     got = simhash.groups(simhash.fingerprints(df)).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == [(2, 2), (3, 2), (4, 2), (7, 7), (8, 8), (8, 8), (9, 8)]
-    assert sorted(r.doc_id for r in simhash.keep_one(df).collect()) == [2, 7, 8, 8]
-    assert simhash.keep_one(df).columns == df.columns
+    kept = near.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 7, 8, 8]
     assert simhash.groups(simhash.fingerprints(df.limit(0))).count() == 0
 
 
+def near_copies(seed):
+    """Texts of few and many words, copies with some words changed about the limit of 0.8, and passages many texts share."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randrange(4000)}"
+    shared = [[word() for _ in range(30)] for _ in range(3)]
+    texts = []
+    for _ in range(60):
+        base = [word() for _ in range(rng.choice([1, 4, 5, 6, 9, 30, 120, 400]))] + rng.choice([[], *shared])
+        texts.append(base)
+        for _ in range(rng.choice([0, 1, 2, 6])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 1, max(1, len(copy) // 60), max(1, len(copy) // 45), max(1, len(copy) // 25)])):
+                copy[rng.randrange(len(copy))] = word()
+            texts.append(copy if rng.random() < 0.8 else copy + shared[0][: rng.randrange(20)])
+    texts += [shared[0] + shared[1] + [word() for _ in range(k % 4)] for k in range(12)] + [[], []]
+    rng.shuffle(texts)
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize(("seed", "drawn"), [(1, 8192), (2, 0)])
+def test_keep_one_equals_all_pairs(spark, monkeypatch, seed, drawn):
+    monkeypatch.setattr(near, "DRAWN", drawn)  # the order never decides what is found
+    rows = near_copies(seed)
+    want = set(brute_near(rows).values())
+    assert 60 <= len(want) < len(rows)
+    got = near.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert {r.doc_id for r in got.collect()} == want
+
+
+def test_listed_stays_bounded(spark, monkeypatch):
+    monkeypatch.setattr(near, "LISTED", 4)
+    df = spark.createDataFrame([(i, "a b c d e f g" + " z y x w v u" * (i % 2)) for i in range(12)], "doc_id long, text string")
+    h, n = near.listed(df, 5)
+    assert len(h) == 3 and set(n.tolist()) == {12}
+
+
 def test_keep_one_decides_by_row(spark):
     words = lambda c: " ".join(f"{c}{i}" for i in range(30))
     rows = [(1, words("a")), (2, words("a")), (2, words("b")), (None, words("a")), (None, words("c"))]
-    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = near.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.text[:2]) for r in got} == {(1, "a0"), (2, "b0"), (None, "c0")} and len(got) == 3
 
 
@@ -221,8 +275,7 @@ def test_pipeline_stages_equal_brute_force(spark, small):
     want = {d: kept for (d, t), (_, kept) in brute_dedup(text_rows(a)).items() if kept == t or kept.strip()}
     assert dict(text_rows(b)) == want
     c = stage["simhash"](spark, b, small).cache()
-    rep = brute_groups([(d, brute_print(t)) for d, t in text_rows(b)])
-    assert {d for d, _ in text_rows(c)} == set(rep.values())
+    assert {d for d, _ in text_rows(c)} == set(brute_near(text_rows(b)).values())
     e = stage["decontamination"](spark, c, small).cache()
     hits = brute_hits(text_rows(c), [tuple(r) for r in read(spark, small, "benchmark").select("item_id", "text").collect()])
     assert {d for d, _ in text_rows(e)} == {h[0] for h in hits if h[2] == 0}
