@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's docs: the quality
 classifier drops documents it rejects, line dedup removes later copies of
-repeated passages, SimHash keeps one document of each near-duplicate group,
+repeated passages, SimHash and verified shingles keep one document of each group of near-duplicates,
 decontamination drops documents with benchmark passages, and packing deals the
 rest into length buckets and batches.
 """
@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import decontam, line_dedup, packing, quality, simhash
+from corpusloom.llm import decontam, line_dedup, near, packing, quality
 from corpusloom.llm.common import read, shared_folder
 
 
@@ -28,7 +28,7 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs)
+    return near.keep_one(docs)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
