@@ -45,7 +45,19 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of ``stored`` tables that no plan will read again; other tables stay."""
+    for df in tables:
+        path = df.__dict__.pop("stored_at", None)
+        if path:
+            jvm = df.sparkSession._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
 def spare(df: DataFrame, *names: str) -> list[str]:

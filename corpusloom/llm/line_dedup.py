@@ -32,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, spare
+from .common import discard, spare, stored
 
 WINDOW, LONG, LEAST = 3, 12, 40
 _W = "\\t\\n\\x0B\\f\\r "
@@ -62,7 +62,7 @@ def line_hashes(text: Column) -> Column:
 def documents(docs: DataFrame) -> DataFrame:
     """d, t (32 bits of the text's hash) and ``lines`` of each distinct document, written once."""
     d = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    return cut(docs.where(F.col("text").isNotNull()).select(d.alias("d"), F.hash("text").alias("t"), line_hashes(F.col("text")).alias("lines")))
+    return stored(docs.where(F.col("text").isNotNull()).select(d.alias("d"), F.hash("text").alias("t"), line_hashes(F.col("text")).alias("lines")))
 
 
 def windows(lines: DataFrame) -> DataFrame:
@@ -81,11 +81,15 @@ def windows(lines: DataFrame) -> DataFrame:
     return out.select("d", F.shiftleft(F.col("t").cast("long"), 32).bitwiseOR(F.col("w.p").cast("long")).alias("at"), "w.h", "w.g")
 
 
-def removals(lines: DataFrame) -> DataFrame:
-    """d, t, n (lines) and ``drop`` (2 * position, plus 1 for a long window, of later occurrences) of each document."""
+def repeated(lines: DataFrame) -> DataFrame:
+    """The windows whose h occurs more than once."""
     every = windows(lines)
     often = every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select(F.expr("h ^ 0L").alias("k"))
-    again = cut(every.join(often, F.col("h") == F.col("k")).select("d", "at", "h", "g"))
+    return stored(every.join(often, F.col("h") == F.col("k")).select("d", "at", "h", "g"))
+
+
+def removals(lines: DataFrame, again: DataFrame) -> DataFrame:
+    """d, t, n (lines) and ``drop`` (2 * position, plus 1 for a long window, of later occurrences) of each document."""
     first = again.groupBy("h", "g").agg(F.min(F.struct("d", "at")).alias("first")).select(F.expr("h ^ 0L").alias("k"), F.col("g").alias("kg"), "first")
     later = again.join(first, (F.col("h") == F.col("k")) & (F.col("g") == F.col("kg"))).where(F.struct("d", "at") > F.col("first"))
     spots = later.select("d", F.shiftright("at", 32).cast("int").alias("t"), F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("p"), F.lit(None).cast("int").alias("n"))
@@ -96,7 +100,11 @@ def removals(lines: DataFrame) -> DataFrame:
 def reduced(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with a column (its name is returned) of text, n_lines and n_removed."""
     out, d, t, n, drop = spare(docs, "rest", "rest_d", "rest_t", "rest_n", "rest_drop")
-    found = removals(documents(docs)).select(F.col("d").alias(d), F.col("t").alias(t), F.col("n").alias(n), F.col("drop").alias(drop))
+    lines = documents(docs)
+    again = repeated(lines)
+    spots = stored(removals(lines, again))
+    discard(lines, again)
+    found = spots.select(F.col("d").alias(d), F.col("t").alias(t), F.col("n").alias(n), F.col("drop").alias(drop))
     rows = docs.join(found, (F.coalesce(docs["doc_id"].cast("long"), F.lit(-(1 << 63))) == F.col(d)) & (F.hash(docs["text"]) == F.col(t)) & docs["text"].isNotNull(), "left")
 
     def rest(lines: Column) -> Column:
