@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import bound_batches, chunks, spare, stored, text_bytes
+from .common import bound_batches, chunks, discard, spare, stored, text_bytes
 from .simhash import components, folded, labels, shingle_hashes
 
 WIDTH, DRAWN, LISTED = 5, 8192, 1 << 20
@@ -59,6 +59,7 @@ def listed(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
             least = x["n"] + 1
             break
     got = seen.where(F.col("n") >= least).toPandas()
+    discard(seen)
     h = got["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(h)
     return h[order], got["n"].to_numpy(np.int64)[order]
@@ -109,12 +110,14 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) ->
     need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     at = nodes.join(need, "node").select("node", F.col("at.doc_id").alias("d"), F.col("at.th").alias("t"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), text_bytes().alias("text"))
-    found = texts.join(at, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).select("node", "text")
-    sets = stored(found.mapInArrow(run, "node long, s array<long>").groupBy("node").agg(F.first("s").alias("s")))  # repeated rows are one
+    found = texts.join(at, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t"))).groupBy("node").agg(F.first("text").alias("text"))  # repeated rows are one; texts shuffle in less than sets
+    sets = stored(found.mapInArrow(run, "node long, s array<long>"))
     left = sets.select(F.col("node").alias("ka"), F.col("s").alias("sa"))
     right = sets.select(F.col("node").alias("kb"), F.col("s").alias("sb"))
     both = pairs.join(left, F.col("a") == F.col("ka")).join(right, F.col("b") == F.col("kb"))
-    return stored(both.where(F.size(F.array_intersect("sa", "sb")) * 9 >= (F.size("sa") + F.size("sb")) * 4).select("a", "b"))
+    out = stored(both.where(F.size(F.array_intersect("sa", "sb")) * 9 >= (F.size("sa") + F.size("sb")) * 4).select("a", "b"))
+    discard(sets)
+    return out
 
 
 def possible(n: Column, pos: Column, m: Column, qos: Column) -> Column:
@@ -138,13 +141,18 @@ def node_links(docs: DataFrame, rows: DataFrame, radius: int, width: int) -> Dat
 
     comp = components(links).select(F.col("node").alias("k"), "comp")
     placed = stored(shared.join(comp, F.col("node") == F.col("k"), "left").select("h", "node", "n", "pos", F.coalesce("comp", "node").alias("comp")))
+    discard(shared)
     split = placed.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select(F.expr("h ^ 0L").alias("k"))
     open_ = stored(placed.join(split, F.col("h") == F.col("k")).drop("k"))
+    discard(placed)
     x, y = open_.alias("x"), open_.select(F.expr("h ^ 0L").alias("k"), F.struct("node", "n", "pos", "comp").alias("y"))
     across = x.join(y, (F.col("h") == F.col("k")) & (F.col("node") < F.col("y.node")) & (F.col("comp") != F.col("y.comp")) & possible(F.col("n"), F.col("pos"), F.col("y.n"), F.col("y.pos")))
     rest = across.select(F.col("node").alias("a"), F.col("y.node").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     rest = stored(rest)
-    return links if rest.isEmpty() else links.unionByName(verified(docs, nodes, rest, width))
+    discard(open_, first)
+    out = links if rest.isEmpty() else links.unionByName(verified(docs, nodes, rest, width))
+    discard(nodes, rest)
+    return out
 
 
 def keep_one(docs: DataFrame, radius: int = 4, width: int = WIDTH) -> DataFrame:

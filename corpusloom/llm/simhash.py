@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import bound_batches, chunks, stored, text_bytes
+from .common import bound_batches, chunks, discard, stored, text_bytes
 
 BLOCKS, SAMPLE, LEAF, CELL = 3, 16_384, 3_000, 6_000
 SIGN = 1 << 63
@@ -192,7 +192,8 @@ def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
         large = both.join(low, F.col("u") == F.col("k")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         floor = large.groupBy("u").agg(F.min("v").alias("m")).select(F.expr("u ^ 0L").alias("k"), "m")
         small = large.join(floor, F.col("u") == F.col("k")).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).where("u != v").distinct()
-        e = stored(small)
+        before, e = e, stored(small)
+        discard(before)
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if now == seen:
             break
