@@ -13,7 +13,8 @@ two sources and each is verified on whole shingle sets:
 
 Texts that share a shingle are first compared with one centre a shingle; what
 then is in one component needs no comparison inside it, and only pairs across
-components that sizes and positions leave possible follow.
+components that sizes and positions leave possible follow.  Whole sets are
+fetched only for pairs whose first shingles have enough in common (``likely``).
 
 Cases: equal shingle sets are one node, so copies are never paired; null and
 empty texts are one group; fewer words than ``WIDTH`` make one shingle; texts
@@ -99,6 +100,19 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, th long, fp long, node long, n long, sig array<long>")
 
 
+def likely(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The ``pairs`` that their rarest shingles leave possible.
+
+    In the one order, a common shingle stands in both prefixes or behind the end
+    of the prefix that ends first, so two sets have at most as many in common as
+    their prefixes have, plus the longer of the two tails.
+    """
+    sig = lambda x: nodes.select(F.col("node").alias(f"k{x}"), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}"))
+    both = pairs.join(sig("a"), F.col("a") == F.col("ka")).join(sig("b"), F.col("b") == F.col("kb"))
+    tail = F.floor((4 * F.greatest("na", "nb") + 4) / 5) - 1
+    return stored(both.where(9 * (F.size(F.array_intersect("sa", "sb")) + tail) >= 4 * (F.col("na") + F.col("nb"))).select("a", "b"))
+
+
 def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """The ``pairs`` (a, b) of nodes whose whole shingle sets are alike to 0.8 or more."""
 
@@ -107,6 +121,7 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) ->
             sets = [distinct_hashes(t, width).view(np.int64) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "s"])
 
+    pairs = likely(nodes, pairs)
     need = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     at = nodes.join(need, "node").select("node", F.col("at.doc_id").alias("d"), F.col("at.th").alias("t"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), text_bytes().alias("text"))
@@ -116,7 +131,7 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) ->
     right = sets.select(F.col("node").alias("kb"), F.col("s").alias("sb"))
     both = pairs.join(left, F.col("a") == F.col("ka")).join(right, F.col("b") == F.col("kb"))
     out = stored(both.where(F.size(F.array_intersect("sa", "sb")) * 9 >= (F.size("sa") + F.size("sb")) * 4).select("a", "b"))
-    discard(sets)
+    discard(sets, pairs)
     return out
 
 
