@@ -38,7 +38,12 @@ def anchor_pairs(df: DataFrame, id: str, text: str, inventory: DataFrame) -> Dat
 
 
 def fuzzy(df: DataFrame, text: str, seed_list: list[tuple[str, str]], threshold: float = 0.82) -> DataFrame:
-    """``df`` with ``matches``: one best window a seed; texts without any anchor aren't sent to Python."""
+    """``df`` with ``matches``: one best window a seed; ASCII texts without any anchor aren't sent to Python.
+
+    Other texts are: what compatibility forms fold to is known there only.  The
+    search is marked as not deterministic, so that it runs once a row, and no
+    rule moves it below a join that ``df`` has made smaller by.
+    """
     search = PhraseSearch(seed_list, threshold)
     shared = df.sparkSession.sparkContext.broadcast(seed_list)
     made: dict = {}
@@ -51,10 +56,10 @@ def fuzzy(df: DataFrame, text: str, seed_list: list[tuple[str, str]], threshold:
 
     anchors = sorted(search.by_anchor)
     low = F.lower(F.coalesce(text, F.lit("")))
-    near = F.lit(False)
+    near = F.octet_length(F.col(text)) > F.char_length(F.col(text))
     for a in anchors:
         near = near | low.contains(a)
-    return df.where(near).withColumn("matches", run(F.col(text))).where(F.size("matches") > 0)
+    return df.where(near).withColumn("matches", run.asNondeterministic()(F.col(text))).where(F.size("matches") > 0)
 
 
 def occurrences(matched: DataFrame, dataset: str, record: str, text: str) -> DataFrame:

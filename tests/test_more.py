@@ -59,6 +59,17 @@ def test_phrase_search_equals_all_windows():
         assert [(m["ordinal"], m["score"], " ".join(t for t, _, _ in fuzzy.spans(m["excerpt"]))) for m in got] == brute_find(phrases, text, 0.6)
 
 
+def test_phrase_search_where_an_anchor_leaves_no_begin(spark):
+    phrases = [("g", "this file contains trade secrets"), ("g", "see the license file")]
+    search = fuzzy.PhraseSearch(phrases)
+    assert search.find("secrets") == [] == search.find("Secrets of the trade, see the rest")
+    text = "Secrets: see the license file"  # one phrase has no begin, the other a window
+    assert [(m["phrase"], m["excerpt"]) for m in search.find(text)] == [("see the license file", "see the license file")]
+    wide = "\uff33\uff25\uff25 the \uff4c\uff49\uff43\uff45\uff4e\uff53\uff45 \uff46\uff49\uff4c\uff45"  # full-width letters fold to the phrase
+    df = spark.createDataFrame([(1, "secrets"), (2, text), (3, None), (4, wide)], "doc_id long, text string")
+    assert {r.doc_id: len(r.matches) for r in retrieval.fuzzy(df, "text", phrases).collect()} == {2: 1, 4: 1}
+
+
 def test_fuzzy_query_equals_all_windows(spark, small):
     want = {}
     for r in queries.docs(spark, small).select("doc_id", "text").collect():
