@@ -88,6 +88,14 @@ def test_stratified_scan_equals_its_parts(spark, small):
     assert sum(r.occurrence_count for r in more.stratified_scan(spark, small).collect()) == len(picked & whole)
 
 
+def test_stratified_scan_where_texts_start_with_a_seed_word(spark, tmp_path):
+    rows = [(i, "Secrets of row" if i % 2 else f"This file contains trade secrets {i % 6}", "en", "src") for i in range(120)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    picked = {r.doc_id for r in queries.systematic_sample(spark, str(tmp_path)).collect()}
+    got = more.stratified_scan(spark, str(tmp_path)).collect()
+    assert len(picked) == 100 and len(got) == len({i % 6 for i in picked if i % 2 == 0}) and sum(r.occurrence_count for r in got) == sum(i % 2 == 0 for i in picked)
+
+
 def test_greedy_selection_by_a_walk(spark, small):
     pool = {(r.lang, r["rank"]): r for r in more.greedy_selection(spark, small).collect()}
     assert {r.decision for r in pool.values()} <= {"kept", "duplicate", "quota_excess"}
