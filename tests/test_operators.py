@@ -2,6 +2,7 @@
 
 import itertools
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import comments, fuzzy
 from corpusloom.functions import text as X
 from corpusloom.operators import allocate, graph, relational
+from corpusloom.plans import queries
 
 
 def fair(capacity, total):
@@ -47,6 +49,21 @@ def test_similar_pairs(spark, least):
     assert {r.id: r.class_id for r in graph.members(df, "id", "s").collect()} == {i: first[frozenset(s)] for i, s in sets.items()}
 
 
+def test_similar_pairs_keeps_its_result_only(spark):
+    sets = [(i, [f"{i // 2} {k}" for k in range(40)] + [f"own {i} {k}" for k in range(5)]) for i in range(200)]
+    folder = Path(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    before = {p.parent for p in folder.rglob("part-*")}
+    got = graph.similar_pairs(spark.createDataFrame(sets, "id long, s array<string>"), "id", "s", 0.8)
+    assert {(r.a, r.b, r.overlap) for r in got.collect()} == {(i, i + 1, 40) for i in range(0, 200, 2)}
+    left = {p.parent for p in folder.rglob("part-*")} - before
+    assert len(left) == 1 and sum(p.stat().st_size for p in left.pop().glob("part-*")) < 20_000
+
+
+def test_classes_build_their_sets_once(spark, small):
+    plan = queries.neardup_classes(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" not in plan
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 100 + i) for i in range(1, 40)] + [(500, 400)]
     got = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
