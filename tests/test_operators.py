@@ -59,6 +59,35 @@ def test_similar_pairs_keeps_its_result_only(spark):
     assert len(left) == 1 and sum(p.stat().st_size for p in left.pop().glob("part-*")) < 20_000
 
 
+def shuffled(spark):
+    """MB that all stages so far have written for shuffles."""
+    sc, gateway = spark.sparkContext._jsc.sc(), spark.sparkContext._gateway
+    sc.listenerBus().waitUntilEmpty()
+    stages = sc.statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size())) / 1e6
+
+
+def test_similar_pairs_send_sets_to_few_places(spark, monkeypatch, tmp_path):
+    near = "transform(sequence(0, 5999), i -> if(i % 40 = id % 100 and i < 400, xxhash64(id % 100, i), xxhash64(cast(i as bigint))))"
+    few = "transform(sequence(0, 9), i -> xxhash64(i + 1000 * (id - 200)))"
+    ids = spark.createDataFrame([(i,) for i in (*range(40), 100, 101, 102, 200, 201, 202)], "id long")  # near copies, copies, small sets
+    ids.selectExpr("id", f"if(id < 200, {near}, {few}) as s").write.parquet(f"{tmp_path}/sets")
+    df = spark.read.parquet(f"{tmp_path}/sets")
+    want = {(a, b): 5980 for a, b in itertools.combinations(range(40), 2)} | {(i, 200 + k): 10 if k or i > 9 else 9 for i in range(40) for k in range(3)}
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        before = shuffled(spark)
+        got = {(r.a, r.b): r.overlap for r in graph.similar_pairs(df, "id", "s", 0.82).collect()}
+        assert got == want
+        assert (mb := shuffled(spark) - before) < 25, mb
+        for cell in (1, 20_000):  # a cell for each set; some cells for a group
+            monkeypatch.setattr(graph, "CELL", cell)
+            assert {(r.a, r.b): r.overlap for r in graph.similar_pairs(df.where("id < 12 or id > 99"), "id", "s", 0.82).collect()} == {k: n for k, n in want.items() if k[0] < 12 and (k[1] < 12 or k[1] > 99)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
 def test_classes_build_their_sets_once(spark, small):
     plan = queries.neardup_classes(spark, small)._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp_extract_all" not in plan
